@@ -48,8 +48,8 @@ def text_of(html: Column) -> Column:
 
 
 def visible(html: Column) -> Column:
-    """The page without scripts, styles and comments."""
-    return F.regexp_replace(html, _HIDDEN, "")
+    """The page without scripts, styles, comments and the marks used below."""
+    return F.regexp_replace(F.translate(html, _OPEN + _CLOSE, ""), _HIDDEN, "")
 
 
 def paragraphs(html: Column) -> Column:
@@ -84,7 +84,8 @@ def _inside_first_div(fragment: Column) -> Column:
     tags = F.regexp_extract_all(fragment, F.lit(r"(?i)(</?div)\b"), F.lit(1))
     end = F.aggregate(tags, start, step)
     marked = F.regexp_replace(fragment, r"(?i)</div\b", _CLOSE)
-    return F.when(end["depth"] == 0, F.substring_index(marked, _CLOSE, end["closed"])).otherwise(
+    inner = F.substring_index(marked, _CLOSE, end["closed"])
+    return F.when(end["depth"] == 0, F.replace(inner, F.lit(_CLOSE), F.lit("</div"))).otherwise(
         fragment
     )
 
