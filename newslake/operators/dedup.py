@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.functions.text import or_none
+from newslake.functions.text import article_id, or_none
 
 SALTS = 1024
 
@@ -15,18 +15,28 @@ def stored_urls(stored: DataFrame) -> DataFrame:
     return stored.select(or_none(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
 
 
+def _first_of_each(articles: DataFrame, keys: list[Column], order: tuple[str, ...]) -> DataFrame:
+    """First row of each group. The minimum is taken before the shuffle, so the
+    copies in a group travel as one row per task however many there are."""
+    named = [k.alias(f"_key{i}") for i, k in enumerate(keys)]
+    first = F.min_by(F.struct(*articles.columns), F.struct(*order)).alias("_row")
+    return articles.groupBy(*named).agg(first).select("_row.*")
+
+
 def one_per_url(articles: DataFrame, *order: str) -> DataFrame:
     """Keep the first article of each URL; articles without a URL are all kept.
 
-    The minimum is taken before the shuffle, so many copies of one URL travel as
-    one row per task. Articles without a URL are grouped by their own order
-    columns, which are unique, instead of meeting in one group.
+    ``order`` must identify an article: those without a URL are grouped by it
+    instead of meeting in one group.
     """
-    names = articles.columns
     url = or_none(F.col("url"))
-    own = [F.when(url.isNull(), F.col(c)).alias(f"_own{i}") for i, c in enumerate(order)]
-    first = F.min_by(F.struct(*names), F.struct(*order)).alias("_row")
-    return articles.groupBy(url.alias("_url"), *own).agg(first).select("_row.*")
+    own = [F.when(url.isNull(), F.col(c)) for c in order]
+    return _first_of_each(articles, [url, *own], order)
+
+
+def one_per_id(articles: DataFrame, *order: str) -> DataFrame:
+    """Keep the first article of each stable id: by URL, by text without one."""
+    return _first_of_each(articles, [article_id(F.col("url"), F.col("content"))], order)
 
 
 def _with_salt(articles: DataFrame) -> DataFrame:

@@ -8,27 +8,36 @@ from pyspark.sql import functions as F
 STATUSES = ["success", "failed", "skipped"]
 
 
-def ingest_metrics(articles: DataFrame, outcome: str, chunks: str, path: str | None = None) -> DataFrame:
+def ingest_metrics(loaded: DataFrame, processed: DataFrame, path: str | None = None) -> DataFrame:
     """One row about an ingest.
 
-    ``outcome`` names a column that is 'processed', 'skipped' or 'empty' per loaded
-    article, ``chunks`` one with the number of chunks stored for it.
+    ``loaded`` holds the articles read (``content``), ``processed`` one row per
+    article stored (``n_chunks``). Articles with text that were not stored were
+    skipped as duplicates.
     """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    has_text = F.coalesce((F.length("content") > 0).cast("long"), zero)
+    read = loaded.select(
+        one.alias("loaded"), has_text.alias("texts"), zero.alias("stored"), zero.alias("chunks")
+    )
+    kept = processed.select(
+        zero.alias("loaded"), zero.alias("texts"), one.alias("stored"),
+        F.col("n_chunks").cast("long").alias("chunks"),
+    )
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), zero)
 
-    def count_of(value: str) -> Column:
-        return F.count(F.when(F.col(outcome) == value, 1))
-
-    loaded = F.count("*")
     columns = [
-        F.when(loaded == 0, "no_data").otherwise("success").alias("status"),
-        loaded.alias("articles_loaded"),
-        count_of("processed").alias("articles_processed"),
-        count_of("skipped").alias("articles_skipped"),
-        F.coalesce(F.sum(chunks), F.lit(0)).cast("long").alias("chunks_uploaded"),
+        F.when(total("loaded") == 0, "no_data").otherwise("success").alias("status"),
+        total("loaded").alias("articles_loaded"),
+        total("stored").alias("articles_processed"),
+        (total("texts") - total("stored")).alias("articles_skipped"),
+        total("chunks").alias("chunks_uploaded"),
     ]
     if path is not None:
         columns.append(F.lit(path).alias("target_path"))
-    return articles.agg(*columns)
+    return read.unionAll(kept).agg(*columns)
 
 
 def feed_counts(articles: DataFrame, status: str = "status") -> DataFrame:

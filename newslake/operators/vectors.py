@@ -28,7 +28,7 @@ def article_points(articles: DataFrame, ingested_at: Column) -> DataFrame:
     rows = with_payload(articles, ingested_at).withColumns(
         {
             "id": text.article_id(F.col("url"), F.col("content")),
-            "published_at": times.iso(F.col("published_at").cast("timestamp")),
+            "published_at": times.iso(F.col("published_at").try_cast("timestamp")),
             "full_content": F.col("content"),
             "chunk_index": F.lit(None).cast("int"),
         }
@@ -41,7 +41,7 @@ def chunk_points(chunks: DataFrame, ingested_at: Column) -> DataFrame:
     rows = with_payload(chunks, ingested_at).withColumns(
         {
             "id": text.chunk_id(F.col("url"), F.col("full_content"), F.col("chunk_index")),
-            "published_at": times.iso(F.col("published_at").cast("timestamp")),
+            "published_at": times.iso(F.col("published_at").try_cast("timestamp")),
         }
     )
     return rows.select(*VECTOR_ROW.fieldNames())

@@ -52,6 +52,20 @@ REFINED_ARTICLE = _with_partitions(
     ]
 )
 
+# Refined article as a message: times are ISO text, a URL may come along.
+REFINED_MESSAGE = T.StructType(
+    [
+        T.StructField("title", T.StringType()),
+        T.StructField("link", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("published_at", T.StringType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("content_length", T.IntegerType()),
+        T.StructField("crawled_at", T.StringType()),
+        T.StructField("source", T.StringType()),
+    ]
+)
+
 BRONZE_TRADE = _with_partitions(
     [
         T.StructField("raw_json", T.StringType()),

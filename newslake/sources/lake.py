@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslake.schemas import PARTITIONS, REFINED_ARTICLE, SILVER_TRADE
+from newslake.session import setting
 
 BATCH = "batch"
+SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 SLICE_COLUMNS = ["title", "content", "link", "published_at", "source"]
 
 
@@ -26,15 +28,19 @@ def write_hours(df: DataFrame, root: str, batch_id: int | None = None) -> None:
     an hour that holds most of the rows is split over several tasks instead of
     landing in one. A micro-batch also gets an innermost ``batch`` folder which it
     overwrites when it is replayed, so replays never duplicate rows.
+
+    Merging tiny shuffle partitions would not save files here, as every hour is a
+    file of its own, and would only write them one after the other.
     """
     parts = list(PARTITIONS)
     out = padded_parts(df).hint("rebalance", *parts)
-    if batch_id is None:
-        out.write.mode("append").partitionBy(*parts).parquet(root)
-        return
-    out = out.withColumn(BATCH, F.lit(batch_id).cast("long"))
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*parts, BATCH).parquet(root)
+    with setting(df.sparkSession, SMALLEST_TASK, "64k"):
+        if batch_id is None:
+            out.write.mode("append").partitionBy(*parts).parquet(root)
+            return
+        out = out.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*parts, BATCH).parquet(root)
 
 
 def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
