@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.plans import trade_queries
+from newslake.plans import news_queries, trade_queries
 
-_ALL = {**trade_queries.QUERIES}
+_ALL = {**trade_queries.QUERIES, **news_queries.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
