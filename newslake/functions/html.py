@@ -84,7 +84,7 @@ def _inside_first_div(fragment: Column) -> Column:
     tags = F.regexp_extract_all(fragment, F.lit(r"(?i)(</?div)\b"), F.lit(1))
     end = F.aggregate(tags, start, step)
     marked = F.regexp_replace(fragment, r"(?i)</div\b", _CLOSE)
-    inner = F.substring_index(marked, _CLOSE, end["closed"])
+    inner = F.call_function("substring_index", marked, F.lit(_CLOSE), end["closed"])
     return F.when(end["depth"] == 0, F.replace(inner, F.lit(_CLOSE), F.lit("</div"))).otherwise(
         fragment
     )

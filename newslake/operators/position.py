@@ -43,11 +43,12 @@ def running_total(
     inside = Window.partitionBy(*keys, "_range").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = ranged.withColumn("_inside", F.sum("_weight").over(inside))
-    return (
-        counted.join(before, [*keys, "_range"])
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_range", "_weight", "_before", "_inside")
-    )
+    c, b = counted.alias("c"), before.alias("b")
+    same = F.col("c._range") == F.col("b._range")
+    for key in keys:
+        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"b.{key}"))
+    total = F.col("b._before") + F.col("c._inside")
+    return c.join(b, same).select(*[f"c.{n}" for n in df.columns], total.alias(name))
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:

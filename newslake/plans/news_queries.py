@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions import html, text, times
 from newslake.operators import chunk, decode, dedup, metrics, news, publish, trades
+from newslake.operators.position import numbered
+from newslake.operators.vectors import with_payload
 from newslake.plans import lakes
 from newslake.plans import stand_ins as si
 from newslake.schemas import PARTITIONS, RAW_ARTICLE, REFINED_ARTICLE
@@ -147,11 +149,12 @@ def keyed_article_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the messages. The breaking feed has no page per article, so its
     key is title, clock and place on the page crawled in that hour."""
     a = si.raw_articles(spark, sf_dir).withColumn("at", times.parse_time(F.col("crawled_at")))
-    page = Window.partitionBy(F.date_trunc("hour", "at"), "source", "news_type").orderBy("doc_id")
+    a = a.withColumn("page", F.date_trunc("hour", "at")).drop("content")
+    a = numbered(a, ["page", "source", "news_type"], ["doc_id"], "place")
     clock = F.date_format("at", "HH:mm")
     breaking = F.coalesce(F.col("news_type") == "breaking", F.lit(False))
     link = F.when(~breaking, F.col("link"))
-    key = publish.article_key(link, F.col("title"), clock, F.row_number().over(page))
+    key = publish.article_key(link, F.col("title"), clock, F.col("place"))
     fields = publish.as_json(a, "title", "link", "content_length", "source", "news_type")
     return a.select("doc_id", key.alias("key"), fields.alias("value"))
 
@@ -391,8 +394,6 @@ ID_SQL = si.with_ctes("SELECT doc_id, md5(coalesce(link, content)) AS id FROM do
 
 
 def vector_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from newslake.operators.vectors import with_payload
-
     rows = _refined(spark, sf_dir).withColumn("url", F.col("link"))
     paid = with_payload(rows, times.iso(si.anchor()))
     return si.without_zone(paid.select("doc_id", "title", "source", "published_at", "url", "ingested_at"))
