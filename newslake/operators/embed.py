@@ -63,12 +63,10 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, size, out=np.zeros_like(matrix, dtype=float), where=size > 0)
 
 
-def _attempt(
-    embedder: Embedder, texts: pa.Array, waits: Sequence[float]
-) -> np.ndarray | None:
+def _one_with_retries(embedder: Embedder, text: pa.Array, waits: Sequence[float]):
     for wait in waits:
         try:
-            return np.asarray(embedder(texts))
+            return np.asarray(embedder(text), dtype=np.float32)[0]
         except Exception:
             time.sleep(wait)
     return None
@@ -79,18 +77,19 @@ def embed_batch(
 ) -> tuple[list, list]:
     """Vectors and errors of a batch.
 
-    The batch is sent once as a whole. If that fails, its texts are sent one by
-    one with retries, so one bad text costs only its own row.
+    A batch that fails is halved until the failing texts stand alone. Only these
+    are retried, one wait after each attempt, and only these end with an error.
     """
+    if len(texts) == 1:
+        vector = _one_with_retries(embedder, texts, waits)
+        return [vector], [GAVE_UP if vector is None else None]
     try:
         return list(np.asarray(embedder(texts), dtype=np.float32)), [None] * len(texts)
     except Exception:
-        vectors, errors = [], []
-        for i in range(len(texts)):
-            one = _attempt(embedder, texts.slice(i, 1), waits)
-            vectors.append(None if one is None else one[0].astype(np.float32))
-            errors.append(GAVE_UP if one is None else None)
-        return vectors, errors
+        half = len(texts) // 2
+        left = embed_batch(embedder, texts.slice(0, half), waits)
+        right = embed_batch(embedder, texts.slice(half), waits)
+        return left[0] + right[0], left[1] + right[1]
 
 
 def embedded(

@@ -73,7 +73,8 @@ def _score_partition(batches: Iterator[pa.RecordBatch], block, k: int, dimension
 
 
 def _arrow_type(field: T.StructField) -> pa.DataType:
-    return pa.string() if isinstance(field.dataType, T.StringType) else pa.int64()
+    kinds = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.LongType(): pa.int64()}
+    return kinds[field.dataType]
 
 
 def nearest(

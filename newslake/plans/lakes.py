@@ -10,23 +10,27 @@ from pyspark.sql import functions as F
 
 from newslake.functions import text
 from newslake.operators import news, trades, vectors
-from newslake.operators.embed import HashedWords, with_vectors
 from newslake.operators.dedup import one_per_id
+from newslake.operators.embed import HashedWords, with_vectors
 from newslake.plans import stand_ins as si
+from newslake.schemas import SILVER_TRADE
 from newslake.session import scratch_path
 from newslake.sources import lake
 
 DIMENSION = 256
 
 _built: dict[tuple[str, str, str], str] = {}
+_tables: dict[str, DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
+def _once(
+    spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None], mark: str = ""
+) -> str:
     """Path of a derived table; built again if its folder is gone."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key in _built:
         try:
-            spark.read.schema("x int").parquet(_built[key])
+            spark.read.text(f"{_built[key]}{mark}/_SUCCESS")
             return _built[key]
         except AnalysisException:
             del _built[key]
@@ -61,9 +65,13 @@ def refined_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver trades as a table."""
+    """The silver trades as a table. The table object is kept with its list of
+    files, which a catalog would otherwise hold."""
     si.use_utc(spark)
-    return lake.scan(spark, silver_root(spark, sf_dir), lake.SILVER_TRADE)
+    root = silver_root(spark, sf_dir)
+    if root not in _tables:
+        _tables[root] = lake.scan(spark, root, SILVER_TRADE)
+    return _tables[root]
 
 
 def vector_root(spark: SparkSession, sf_dir: str) -> str:
@@ -78,7 +86,7 @@ def vector_root(spark: SparkSession, sf_dir: str) -> str:
         embedded = with_vectors(unique, HashedWords(DIMENSION))
         vectors.upsert(vectors.article_points(embedded, si.anchor().cast("string")), path, 0)
 
-    return _once(spark, sf_dir, "vectors", build)
+    return _once(spark, sf_dir, "vectors", build, "/version=0")
 
 
 def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:

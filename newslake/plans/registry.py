@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.plans import delegated, news_queries, trade_queries
+from newslake.plans import delegated, news_queries, trade_queries, vector_queries
 
-_ALL = {**trade_queries.QUERIES, **news_queries.QUERIES, **delegated.QUERIES}
+_ALL = {**trade_queries.QUERIES, **news_queries.QUERIES, **vector_queries.QUERIES, **delegated.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
