@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newslake.plans import delegated, news_queries, trade_queries, vector_queries
-
-_ALL = {**trade_queries.QUERIES, **news_queries.QUERIES, **vector_queries.QUERIES, **delegated.QUERIES}
+from newslake.plans import (
+    delegated,
+    news_queries,
+    stream_queries,
+    trade_queries,
+    vector_queries,
+)
+
+_ALL = {
+    **trade_queries.QUERIES,
+    **news_queries.QUERIES,
+    **vector_queries.QUERIES,
+    **stream_queries.QUERIES,
+    **delegated.QUERIES,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

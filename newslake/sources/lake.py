@@ -46,7 +46,7 @@ def write_hours(df: DataFrame, root: str, batch_id: int | None = None) -> None:
 def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The whole lake table; an absent or empty folder gives an empty table."""
     try:
-        return spark.read.schema(schema).parquet(root)
+        return spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):
             raise
