@@ -17,16 +17,19 @@ from newslake.streaming import ingest, medallion, refine
 FILES_PER_BATCH = 4
 
 
-def topic_files(spark: SparkSession, df: DataFrame, name: str) -> str:
-    """Messages as text files, in the place of a topic."""
+N_FILES = 8
+
+
+def topic_files(spark: SparkSession, df: DataFrame, order: str, name: str) -> str:
+    """Messages as text files in the order they were sent, in place of a topic."""
     path = scratch_path(spark, name)
-    df.select("value").repartition(8).write.text(path)
+    df.repartitionByRange(N_FILES, order).select("value").write.text(path)
     return path
 
 
 def stream_trade_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows after all micro-batches were written to both layers."""
-    topic = topic_files(spark, si.trade_messages(spark, sf_dir), "trade-topic")
+    topic = topic_files(spark, si.trade_messages(spark, sf_dir), "event_id", "trade-topic")
     root = scratch_path(spark, "medallion")
     stream = messages.file_stream(spark, topic, FILES_PER_BATCH)
     medallion.start(stream, root, f"{root}/checkpoint", bounded=True).awaitTermination()
@@ -48,7 +51,8 @@ def stream_news_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refined articles after all micro-batches. An article without a time lies in
     the hour of its arrival, so its partition is not shown."""
     raw = si.raw_articles(spark, sf_dir)
-    topic = topic_files(spark, raw.select(publish.as_json(raw.drop("doc_id")).alias("value")), "news-topic")
+    value = publish.as_json(raw.drop("doc_id")).alias("value")
+    topic = topic_files(spark, raw.select("doc_id", value), "doc_id", "news-topic")
     root = scratch_path(spark, "refine")
     stream = messages.file_stream(spark, topic, FILES_PER_BATCH)
     refine.start(stream, root, f"{root}/checkpoint", bounded=True).awaitTermination()
@@ -69,8 +73,9 @@ FROM refined
 
 def stream_embed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector table after all micro-batches: one whole article per id."""
-    refined = news.refine(si.raw_articles(spark, sf_dir), anchor=si.anchor())
-    topic = topic_files(spark, publish.refined_messages(refined), "refined-topic")
+    refined = news.refine(si.raw_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
+    sent = publish.refined_messages(refined, "doc_id")
+    topic = topic_files(spark, sent, "doc_id", "refined-topic")
     root = scratch_path(spark, "embedded")
     stream = messages.file_stream(spark, topic, FILES_PER_BATCH)
     job = ingest.start(

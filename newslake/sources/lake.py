@@ -22,25 +22,27 @@ def padded_parts(df: DataFrame) -> DataFrame:
 
 
 def write_hours(df: DataFrame, root: str, batch_id: int | None = None) -> None:
-    """Append a table with year/month/day/hour columns to the lake.
+    """Write a table with year/month/day/hour columns to the lake.
 
     Rows are rebalanced on the hour first: small hours become one file each, and
     an hour that holds most of the rows is split over several tasks instead of
-    landing in one. A micro-batch also gets an innermost ``batch`` folder which it
-    overwrites when it is replayed, so replays never duplicate rows.
+    landing in one. Merging tiny shuffle partitions would not save files here, as
+    every hour is a file of its own, and would only write them one after another.
 
-    Merging tiny shuffle partitions would not save files here, as every hour is a
-    file of its own, and would only write them one after the other.
+    Without a batch number the rows are appended. A micro-batch has a folder of its
+    own above the hours, which is replaced as a whole when the batch is replayed:
+    no row is doubled and nothing has to be renamed file by file.
     """
-    parts = list(PARTITIONS)
-    out = padded_parts(df).hint("rebalance", *parts)
+    mode, target = ("append", root) if batch_id is None else ("overwrite", batch_path(root, batch_id))
+    rows = padded_parts(df).hint("rebalance", *PARTITIONS)
     with setting(df.sparkSession, SMALLEST_TASK, "64k"):
-        if batch_id is None:
-            out.write.mode("append").partitionBy(*parts).parquet(root)
-            return
-        out = out.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*parts, BATCH).parquet(root)
+        rows.write.mode(mode).partitionBy(*PARTITIONS).parquet(target)
+
+
+def batch_path(root: str, batch_id: int) -> str:
+    """Folder of one micro-batch. Spark reads it as a partition column, so a scan
+    of the root prunes on the hour as in a lake without batches."""
+    return f"{root}/{BATCH}={batch_id}"
 
 
 def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

@@ -113,7 +113,7 @@ def write_vectors(
         F.lit(vectors.WRONG_SIZE).alias("error_msg"), failed_at.alias("failed_at"),
     )
     letters = malformed.unionByName(failed).unionByName(wrong_size)
-    letters.write.mode("overwrite").parquet(f"{root}_dead_letter/batch={batch_id}")
+    letters.write.mode("overwrite").parquet(lake.batch_path(f"{root}_dead_letter", batch_id))
 
 
 def start(

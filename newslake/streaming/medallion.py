@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newslake.operators import trades
-from newslake.sources.lake import write_hours
+from newslake.sources.lake import batch_path, write_hours
 from newslake.streaming.runs import each_batch
 
 
@@ -28,7 +28,7 @@ def write_layers(batch: DataFrame, batch_id: int, root: str) -> None:
     write_hours(trades.silver(decoded, anchor=arrival), paths["silver"], batch_id)
     failed_at = F.unix_micros(arrival).cast("string")
     bad = trades.rejected(decoded, failed_at)
-    bad.write.mode("overwrite").parquet(f"{paths['dead_letter']}/batch={batch_id}")
+    bad.write.mode("overwrite").parquet(batch_path(paths["dead_letter"], batch_id))
 
 
 def start(

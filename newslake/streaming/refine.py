@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newslake.operators import decode, news, publish
 from newslake.schemas import RAW_ARTICLE
-from newslake.sources.lake import write_hours
+from newslake.sources.lake import batch_path, write_hours
 from newslake.sources.messages import REFINED_TOPIC
 from newslake.streaming.runs import each_batch
 
@@ -20,7 +20,7 @@ def publish_batch(rows: DataFrame, batch_id: int, out: str, servers: str | None)
             "topic", out
         ).save()
     else:
-        rows.select("value").write.mode("overwrite").text(f"{out}/batch={batch_id}")
+        rows.select("value").write.mode("overwrite").text(batch_path(out, batch_id))
 
 
 def write_refined(
@@ -32,7 +32,7 @@ def write_refined(
     out = REFINED_TOPIC if servers else f"{root}/messages"
     publish_batch(publish.refined_messages(refined), batch_id, out, servers)
     bad = decode.quarantine(batch, RAW_ARTICLE)
-    bad.write.mode("overwrite").parquet(f"{root}/dead_letter/batch={batch_id}")
+    bad.write.mode("overwrite").parquet(batch_path(f"{root}/dead_letter", batch_id))
 
 
 def start(
