@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import article_id, or_none
+from newslake.session import settle
 
 SALTS = 1024
 
@@ -62,12 +63,13 @@ def not_stored_batch(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """``not_stored`` for a small settled batch against a large table.
 
     The batch's URLs select the few stored URLs that matter, so the table is
-    scanned for one column and not shuffled when the batch is small enough for
-    the planner to broadcast.
+    scanned for one column and not shuffled when the planner finds the batch small
+    enough to broadcast. The URLs found are settled, so the same holds for them and
+    the articles stay where they are; large sides are shuffled.
     """
     wanted = batch.select(or_none(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
-    seen = stored.select("url").join(wanted, "url", "left_semi")
-    return not_stored(batch, seen)
+    seen = stored.select("url").join(wanted, "url", "left_semi").distinct()
+    return not_stored(batch, settle(seen, "seen-urls"))
 
 
 def find_url(stored: DataFrame, url: str) -> DataFrame:

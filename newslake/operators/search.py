@@ -44,22 +44,38 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
+class _Kept:
+    """The best rows seen so far for each question of a block."""
+
+    def __init__(self, n_questions: int, k: int):
+        self.k = k
+        self.floor = np.full(n_questions, -np.inf)
+        self.best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * n_questions
+
+    def offer(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Take a questions x rows matrix. Rows below a question's k-th score so
+        far cannot enter; equal ones may, by their id."""
+        open_ = scores >= self.floor[:, None]
+        for i in np.flatnonzero(open_.any(axis=1)):
+            found = scores[i][open_[i]], ids[open_[i]]
+            if self.best[i] is not None:
+                found = tuple(np.concatenate(pair) for pair in zip(self.best[i], found))
+            self.best[i] = _best(*found, self.k)
+            if len(self.best[i][0]) == self.k:
+                self.floor[i] = self.best[i][0][-1]
+
+
 def _score_partition(batches: Iterator[pa.RecordBatch], block, k: int, dimension: int, kind):
     question_ids, questions = block.value
-    best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(question_ids)
+    kept = _Kept(len(question_ids), k)
+    step = max(1, BLOCK_BYTES // (8 * max(1, len(question_ids))))
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        rows = _matrix(batch.column(1), dimension)
-        ids = np.array(batch.column(0).to_pylist())
-        scored = np.round(questions @ rows.T, SCORE_DIGITS)
-        for i, scores in enumerate(scored):
-            found = _best(scores, ids, k)
-            if best[i] is not None:
-                merged = [np.concatenate(pair) for pair in zip(best[i], found)]
-                found = _best(*merged, k)
-            best[i] = found
-    for question_id, found in zip(question_ids, best):
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            rows = _matrix(part.column(1), dimension)
+            scores = np.nan_to_num(questions @ rows.T, nan=0.0)
+            kept.offer(np.round(scores, SCORE_DIGITS), np.array(part.column(0).to_pylist()))
+    for question_id, found in zip(question_ids, kept.best):
         if found is not None:
             scores, ids = found
             yield pa.RecordBatch.from_arrays(

@@ -492,14 +492,26 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of the refined articles with the fields they carry along."""
+    """Fixed chunks of the refined articles with the fields they carry along."""
     articles = news.with_content(_refined(spark, sf_dir)).select(
         "doc_id", "source", "title", "content", F.col("link").alias("url"), "published_at"
     )
-    rows = chunk.chunk_rows(articles, chunk.separated_chunks(F.col("content")))
+    rows = chunk.chunk_rows(articles, chunk.fixed_chunks(F.col("content")))
     return si.without_zone(rows)
 
 
+CHUNK_ROWS_SQL = si.with_ctes(
+    """
+SELECT doc_id, source, title, url, published_at, content AS full_content,
+       i::INTEGER AS chunk_index, substr(content, i * 600 + 1, 700) AS content
+FROM (SELECT *, link AS url,
+             unnest(range(greatest(ceil((length(content) - 100) / 600.0)::BIGINT, 1))) AS i
+      FROM refined WHERE content <> '')
+""",
+    si.DOC, si.REFINED,
+)
+
+
 # --- pages --------------------------------------------------------------------
 
 BODY_CLASS = "document-body"
@@ -659,7 +671,7 @@ QUERIES = {
     "chunk_fixed": (chunk_fixed, FIXED_SQL),
     "chunk_id": (chunk_id, CHUNK_ID_SQL),
     "chunk_recursive": (chunk_recursive, None),
-    "chunk_rows": (chunk_rows, None),
+    "chunk_rows": (chunk_rows, CHUNK_ROWS_SQL),
     "html_paragraph_text": (html_paragraph_text, PARAGRAPH_SQL),
     "html_fields": (html_fields, FIELDS_SQL),
     "page_metadata": (page_metadata, METADATA_SQL),

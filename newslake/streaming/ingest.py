@@ -15,9 +15,11 @@ from newslake.session import settle
 from newslake.sources import lake
 from newslake.streaming.runs import each_batch
 
+
 def new_articles(loaded: DataFrame, stored: DataFrame, *order: str) -> DataFrame:
     """Articles to embed: with text, first of their id, URL not stored yet."""
-    return dedup.not_stored(dedup.one_per_id(news.with_content(loaded), *order), stored)
+    unique = settle(dedup.one_per_id(news.with_content(loaded), *order), "unique")
+    return dedup.not_stored_batch(unique, stored)
 
 
 def _vector_or_fail() -> Column:
@@ -91,11 +93,10 @@ def write_vectors(
     spark = batch.sparkSession
     decoded = decode.valid_only(batch, REFINED_MESSAGE, "arrived_at", "value")
     url = text.article_url(F.col("link"), F.col("url"))
-    articles = news.with_content(decoded.withColumn("url", url))
-    unique = dedup.one_per_id(articles, "arrived_at", "value")
+    articles = decoded.withColumn("url", url)
     # A replayed batch must not count its own rows as stored.
     stored = vectors.all_versions(spark, root).where(F.col(vectors.VERSION) != batch_id)
-    fresh = dedup.not_stored_batch(settle(unique, "unique"), stored.select("url"))
+    fresh = new_articles(articles, stored.select("url"), "arrived_at", "value")
     done = settle(embed.with_vectors(fresh, embedder, waits=waits), "embedded")
     stored_at = times.iso(F.current_timestamp())
     points = vectors.article_points(done.where("error IS NULL"), stored_at)
