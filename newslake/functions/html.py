@@ -6,7 +6,7 @@ name fragments, as a crawler's CSS selectors do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import or_none, strip
@@ -56,13 +56,20 @@ def paragraphs(html: Column) -> Column:
     """Texts of the ``<p>`` elements, empty ones dropped.
 
     A paragraph also ends where the next one or another block starts, since
-    pages leave ``</p>`` out.
+    pages leave ``</p>`` out. Starts and ends are marked, then all other tags and
+    the entities are resolved in one pass over the page, not per paragraph.
     """
     marked = F.regexp_replace(
         F.regexp_replace(html, _PARAGRAPH_OPEN, _OPEN), _PARAGRAPH_END, _CLOSE
     )
-    found = F.regexp_extract_all(marked, F.lit(f"{_OPEN}([^{_OPEN}{_CLOSE}]*)"), F.lit(1))
-    return F.filter(F.transform(found, text_of), lambda t: t != "")
+    plain = unescape(F.regexp_replace(marked, r"(?s)<[^>]*>", ""))
+    found = F.regexp_extract_all(plain, F.lit(f"{_OPEN}([^{_OPEN}{_CLOSE}]*)"), F.lit(1))
+    return F.filter(F.transform(found, strip), lambda t: t != "")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, inside a lambda too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _inside_first_div(fragment: Column) -> Column:
@@ -81,13 +88,14 @@ def _inside_first_div(fragment: Column) -> Column:
         )
         return F.when(state["depth"] == 0, state).otherwise(moved)
 
+    def cut(end: Column) -> Column:
+        marked = F.regexp_replace(fragment, r"(?i)</div\b", _CLOSE)
+        inner = F.call_function("substring_index", marked, F.lit(_CLOSE), end["closed"])
+        whole = F.replace(inner, F.lit(_CLOSE), F.lit("</div"))
+        return F.when(end["depth"] == 0, whole).otherwise(fragment)
+
     tags = F.regexp_extract_all(fragment, F.lit(r"(?i)(</?div)\b"), F.lit(1))
-    end = F.aggregate(tags, start, step)
-    marked = F.regexp_replace(fragment, r"(?i)</div\b", _CLOSE)
-    inner = F.call_function("substring_index", marked, F.lit(_CLOSE), end["closed"])
-    return F.when(end["depth"] == 0, F.replace(inner, F.lit(_CLOSE), F.lit("</div"))).otherwise(
-        fragment
-    )
+    return _let(F.aggregate(tags, start, step), cut)
 
 
 def divs_with_class(html: Column, fragment: str) -> Column:
@@ -97,11 +105,20 @@ def divs_with_class(html: Column, fragment: str) -> Column:
     return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _inside_first_div)
 
 
-def body_text(html: Column, container_class: str) -> Column:
-    """Paragraphs of all matching containers but the last, joined by a space."""
-    containers = divs_with_class(visible(html), container_class)
-    kept = F.slice(containers, F.lit(1), F.greatest(F.size(containers) - 1, F.lit(0)))
-    return F.array_join(F.flatten(F.transform(kept, paragraphs)), " ")
+def with_body_text(pages: DataFrame, container_class: str, name: str = "content") -> DataFrame:
+    """Add the paragraphs of all matching containers but the last, joined by a
+    space.
+
+    The steps are columns of their own, since each uses the one before twice. The
+    last one passes through ``explode``, so that a filter on the text does not
+    compute it again.
+    """
+    steps = pages.withColumn("_visible", visible(F.col("html")))
+    steps = steps.withColumn("_containers", divs_with_class(F.col("_visible"), container_class))
+    kept = F.slice("_containers", F.lit(1), F.greatest(F.size("_containers") - 1, F.lit(0)))
+    steps = steps.withColumn("_body", F.array_join(kept, _CLOSE))
+    text = F.array_join(paragraphs(F.col("_body")), " ")
+    return steps.select(*pages.columns, F.explode(F.array(text)).alias(name))
 
 
 def class_text(html: Column, fragment: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ BOILERPLATE = [
     r"\(.*?=.*?\).*?기자 =",
     r"\[.*?기자\]",
 ]
+# A text without any of these matches none of the patterns above.
+BOILERPLATE_SIGNS = ["@", "<저작권자", "기자"]
 NO_TITLE = "제목 없음"
 # Every character Unicode counts as white space.
 WHITESPACE = (
@@ -44,9 +48,12 @@ def clean_boilerplate(text: Column) -> Column:
     """Remove e-mail addresses, copyright tags and by-lines, then trim.
 
     ``(?d)`` makes the dot stop at line feeds only, whatever other line ends the
-    text holds.
+    text holds. Texts without a sign of boilerplate skip the pattern, which tries
+    an address at every letter.
     """
-    return strip(F.regexp_replace(text, "(?d)" + "|".join(BOILERPLATE), ""))
+    cleaned = F.regexp_replace(text, "(?d)" + "|".join(BOILERPLATE), "")
+    has_sign = reduce(Column.__or__, [F.contains(text, F.lit(s)) for s in BOILERPLATE_SIGNS])
+    return strip(F.when(has_sign, cleaned).otherwise(text))
 
 
 def refined_content(source: Column, content: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslake.functions.text import strip
 from newslake.schemas import CORRUPT, RAW_ARTICLE
 
 MALFORMED = "malformed JSON"
@@ -25,7 +24,7 @@ def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     data = F.from_json("value", with_corrupt, options)
-    ends = strip(F.col("value")).endswith("}")
+    ends = F.col("value").rlike(r"\}\s*\z")
     bad = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull() | ~ends
     decoded = df.select("*", F.explode(F.array(data)).alias("data"))
     return decoded.withColumn("malformed", F.coalesce(bad, F.lit(True)))

@@ -58,7 +58,7 @@ def bronze_root(spark: SparkSession, sf_dir: str) -> str:
 
 def refined_root(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
-        refined = news.refine(si.raw_articles(spark, sf_dir), anchor=si.anchor())
+        refined = news.refine(si.spread_articles(spark, sf_dir), anchor=si.anchor())
         lake.write_hours(refined, path)
 
     return _once(spark, sf_dir, "refined", build)
@@ -78,7 +78,7 @@ def vector_root(spark: SparkSession, sf_dir: str) -> str:
     """Vector table of the refined articles, one row per article."""
 
     def build(path: str) -> None:
-        refined = news.refine(si.raw_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
+        refined = news.refine(si.spread_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
         articles = news.with_content(refined).withColumn(
             "url", text.article_url(F.col("link"), F.lit(None).cast("string"))
         )

@@ -12,6 +12,7 @@ from newslake.operators.vectors import with_payload
 from newslake.plans import lakes
 from newslake.plans import stand_ins as si
 from newslake.schemas import PARTITIONS, RAW_ARTICLE, REFINED_ARTICLE
+from newslake.session import spread
 from newslake.sources import lake
 
 # The hour that slice queries read.
@@ -22,7 +23,7 @@ _TRIM = si.SQL_WHITESPACE
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return news.refine(si.raw_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
+    return news.refine(si.spread_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
 
 
 def news_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ REFINE_SQL = si.with_ctes("SELECT * FROM refined", si.DOC, si.REFINED)
 
 
 def clean_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = si.raw_articles(spark, sf_dir)
+    articles = si.spread_articles(spark, sf_dir)
     return articles.select("doc_id", text.clean_boilerplate(F.col("content")).alias("content"))
 
 
@@ -450,7 +451,7 @@ WHERE link IS NULL OR rn = 1
 
 
 def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = si.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    d = si.spread_documents(spark, sf_dir).select("doc_id", F.col("text").alias("content"))
     rows = chunk.chunk_rows(d, chunk.fixed_chunks(F.col("content")))
     return rows.select("doc_id", "chunk_index", "content")
 
@@ -486,7 +487,7 @@ FROM ({_CHUNKS_SQL})
 
 
 def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = si.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    d = si.spread_documents(spark, sf_dir).select("doc_id", F.col("text").alias("content"))
     rows = chunk.chunk_rows(d, chunk.separated_chunks(F.col("content")))
     return rows.select("doc_id", "chunk_index", "content")
 
@@ -520,7 +521,7 @@ BODY_CLASS = "document-body"
 def _article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the article in a body container, followed by a second one that
     holds the footer, as crawled pages have."""
-    p = si.table(spark, sf_dir, "pages")
+    p = spread(si.table(spark, sf_dir, "pages"), "page_id")
     body = F.replace("html", F.lit("<article>"), F.lit('<div class="sc-1 document-body x">'))
     closed = F.replace(body, F.lit("</article>"), F.lit('</div><div class="document-body"><p>more</p>'))
     done = F.replace(closed, F.lit("</footer>"), F.lit("</footer></div>"))
@@ -528,8 +529,8 @@ def _article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_paragraph_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _article_pages(spark, sf_dir)
-    return rows.select("page_id", html.body_text(F.col("html"), BODY_CLASS).alias("content"))
+    rows = html.with_body_text(_article_pages(spark, sf_dir), BODY_CLASS)
+    return rows.select("page_id", "content")
 
 
 def _sql_unescape(expression: str) -> str:
@@ -571,7 +572,7 @@ FROM pages LEFT JOIN (
 def html_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of a news block built around each page's title; blocks of secure
     pages have a link."""
-    p = si.table(spark, sf_dir, "pages")
+    p = spread(si.table(spark, sf_dir, "pages"), "page_id")
     title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
     link = F.when(
         F.col("url").startswith("https"), F.concat(F.lit('<a href="'), F.col("url"), F.lit('">more</a>'))
@@ -605,7 +606,7 @@ FROM pages
 
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text and metadata; a page without text is skipped."""
-    rows = _article_pages(spark, sf_dir)
+    rows = html.with_body_text(_article_pages(spark, sf_dir), BODY_CLASS)
     h = F.col("html")
     found = rows.select(
         "page_id",
@@ -619,7 +620,7 @@ def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         html.meta_content(h, "article:section").alias("categories"),
         html.meta_content(h, "keywords").alias("tags"),
         html.meta_content(h, "article:published_time").alias("date"),
-        html.body_text(h, BODY_CLASS).alias("content"),
+        "content",
     )
     return news.with_content(found)
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from newslake.functions import times
 from newslake.functions.text import BOILERPLATE, WHITESPACE
 from newslake.operators.trades import wrap_envelope
-from newslake.session import use_utc
+from newslake.session import spread, use_utc
 
 # "Now" for all queries, so that results do not depend on the day they run.
 ANCHOR = "2024-03-01 12:34:00"
@@ -42,7 +42,7 @@ def _fixed(number: Column) -> Column:
 
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, key, value``: one envelope per event."""
-    e = table(spark, sf_dir, "events").withColumns(
+    e = spread(table(spark, sf_dir, "events"), "event_id").withColumns(
         {
             "at": F.col("ts").cast("timestamp"),
             "k": F.get_json_object("props", "$.k").cast("int"),
@@ -80,9 +80,22 @@ def irregular_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` for work that is heavy per text."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id`` and the raw article columns."""
-    d = table(spark, sf_dir, "documents")
+    return _articles_from(table(spark, sf_dir, "documents"))
+
+
+def spread_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_articles`` for work that is heavy per text."""
+    return _articles_from(spread_documents(spark, sf_dir))
+
+
+def _articles_from(d: DataFrame) -> DataFrame:
     n, s, body = F.col("doc_id") % 10, F.col("doc_id") % 3, F.col("text")
     at = F.timestamp_seconds(F.lit(START_SECONDS) + F.col("doc_id") * 60)
     content = (

@@ -73,7 +73,7 @@ FROM refined
 
 def stream_embed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector table after all micro-batches: one whole article per id."""
-    refined = news.refine(si.raw_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
+    refined = news.refine(si.spread_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
     sent = publish.refined_messages(refined, "doc_id")
     topic = topic_files(spark, sent, "doc_id", "refined-topic")
     root = scratch_path(spark, "embedded")

@@ -76,7 +76,7 @@ def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-zero components of each document's vector."""
-    d = si.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = si.spread_documents(spark, sf_dir)
     rows = embed.with_vectors(d, embed.HashedWords(DIMENSION), "text")
     parts = rows.select("doc_id", F.posexplode("vector").alias("slot", "x")).where("x <> 0")
     return parts.select("doc_id", "slot", F.round(F.col("x").cast("double"), 6).alias("x"))
@@ -102,7 +102,7 @@ _NO_WAIT = (0, 0, 0)
 
 
 def embed_retry_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = si.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = si.spread_documents(spark, sf_dir)
     rows = embed.with_vectors(d, Refusing(DIMENSION), "text", _NO_WAIT)
     return rows.select(
         "doc_id",
@@ -357,7 +357,7 @@ FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS is_new
 
 
 def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = news.refine(si.raw_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
+    loaded = news.refine(si.spread_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
     loaded = loaded.withColumn("url", F.coalesce("link", F.lit("")))
     fresh = ingest_job.new_articles(loaded, si.stored_articles(spark, sf_dir), "doc_id")
     chunks = fresh.select(F.size(chunk.fixed_chunks(F.col("content"))).alias("n_chunks"))

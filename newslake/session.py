@@ -61,3 +61,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small input out to all cores before heavy work per row.
+
+    One small file is one task, however costly its rows are. Only an input below
+    one read split per core is moved, as the planner estimates it; a larger one
+    has splits enough and stays where it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < split * cores else df

@@ -134,9 +134,9 @@ PAGE = """
 
 
 def test_body_text(spark):
-    got = value(spark, html.body_text(F.lit(PAGE), "document-body"))
-    assert got == "one & two three four five six"
-    assert value(spark, html.body_text(F.lit("<p>x</p>"), "document-body")) == ""
+    pages = spark.createDataFrame([(PAGE,), ("<p>x</p>",)], "html string")
+    got = [r.content for r in html.with_body_text(pages, "document-body").collect()]
+    assert got == ["one & two three four five six", ""]
 
 
 def test_html_fields(spark):
