@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake.functions.once import computed_once
 from newslake.functions.text import or_none, strip
 
 # The entities that pages use.
@@ -109,16 +110,14 @@ def with_body_text(pages: DataFrame, container_class: str, name: str = "content"
     """Add the paragraphs of all matching containers but the last, joined by a
     space.
 
-    The steps are columns of their own, since each uses the one before twice. The
-    last one passes through ``explode``, so that a filter on the text does not
-    compute it again.
+    The steps are columns of their own, since each uses the one before twice.
     """
     steps = pages.withColumn("_visible", visible(F.col("html")))
     steps = steps.withColumn("_containers", divs_with_class(F.col("_visible"), container_class))
     kept = F.slice("_containers", F.lit(1), F.greatest(F.size("_containers") - 1, F.lit(0)))
     steps = steps.withColumn("_body", F.array_join(kept, _CLOSE))
     text = F.array_join(paragraphs(F.col("_body")), " ")
-    return steps.select(*pages.columns, F.explode(F.array(text)).alias(name))
+    return computed_once(steps, name, text).select(*pages.columns, name)
 
 
 def class_text(html: Column, fragment: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newslake.functions.once import computed_once
 from newslake.schemas import CORRUPT, RAW_ARTICLE
 
 MALFORMED = "malformed JSON"
@@ -16,17 +17,13 @@ def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Anything that is not one JSON object of the schema is malformed: broken
     text, text after the object, arrays, scalars and mistyped fields.
-
-    The struct passes through a one-element ``explode``. Without it, the optimizer
-    would push filters on its fields below the projection, and each field in the
-    condition would parse the text again.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     data = F.from_json("value", with_corrupt, options)
     ends = F.col("value").rlike(r"\}\s*\z")
     bad = F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull() | ~ends
-    decoded = df.select("*", F.explode(F.array(data)).alias("data"))
+    decoded = computed_once(df, "data", data)
     return decoded.withColumn("malformed", F.coalesce(bad, F.lit(True)))
 
 

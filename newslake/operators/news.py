@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions import text, times
+from newslake.functions.once import computed_once
 from newslake.operators.decode import backfill
 from newslake.schemas import PARTITIONS
 
@@ -67,8 +68,8 @@ def latest(articles: DataFrame, n: int | None, *tiebreak: str) -> DataFrame:
 
 
 def with_content(articles: DataFrame) -> DataFrame:
-    """Drop articles without text."""
-    return articles.where(F.length("content") > 0)
+    """Drop articles without text. Cleaning is not repeated for the check."""
+    return computed_once(articles, "content", F.col("content")).where(F.length("content") > 0)
 
 
 def with_link(articles: DataFrame) -> DataFrame:
