@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslake.session import settle
+from newslake.session import in_ranges, settle
 
 BLOCK_ROWS = 1_000_000
 
@@ -29,7 +29,7 @@ def running_total(
     The ranges are settled in the shared folder first, because range bounds are
     sampled and must not change between steps 2 and 3.
     """
-    ranged = df.repartitionByRange(*keys, *order).withColumns(
+    ranged = in_ranges(df, *keys, *order).withColumns(
         {"_range": F.spark_partition_id(), "_weight": weight}
     )
     ranged = settle(ranged, "ranges")

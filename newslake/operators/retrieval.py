@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import NO_TITLE, or_none
+from newslake.operators.position import numbered
 
 # Separator of context entries and the two fallback texts.
 RULE = "\n\n---\n\n"
@@ -71,14 +72,16 @@ def brief(contexts: DataFrame, statistics: DataFrame) -> DataFrame:
 
 
 def transcript(turns: DataFrame, turns_per_page: int = TURNS_PER_PAGE) -> DataFrame:
-    """Conversations as ordered pages of turns.
+    """Conversations as ordered pages of a fixed number of turns.
 
-    A page covers a fixed range of turn numbers, so that even a conversation that
-    is most of the table is assembled by many tasks. Pages in order of ``page`` are
-    the whole transcript.
+    Even a conversation that is most of the table is assembled by many tasks, and
+    no page grows with it. Pages in order of ``page`` are the whole transcript.
     """
-    line = F.struct("turn", "role", "text")
-    page = F.floor(F.col("turn") / turns_per_page).cast("long")
-    return turns.groupBy("conv_id", page.alias("page")).agg(
-        F.sort_array(F.collect_list(line)).alias("turns")
+    listed = turns.withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered(listed, ["conv_id"], ["turn", "_row"], "_place")
+    page = F.floor((F.col("_place") - 1) / turns_per_page).cast("long")
+    lines = F.sort_array(F.collect_list(F.struct("_place", "turn", "role", "text")))
+    shown = F.transform(
+        lines, lambda x: F.struct(*[x[f].alias(f) for f in ("turn", "role", "text")])
     )
+    return placed.groupBy("conv_id", page.alias("page")).agg(shown.alias("turns"))

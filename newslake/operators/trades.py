@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions import times
 from newslake.operators.decode import MALFORMED, parse, raw_record
 from newslake.schemas import PARTITIONS, TRADE_ENVELOPE
+from newslake.sources.lake import newest_hour, part_filter
 
 # Labels and defaults of the trade feed. The key default and the
 # envelope default differ on purpose.
@@ -16,6 +20,8 @@ FEED_STREAM = "trade"
 UNKNOWN_SYMBOL = "UNKNOWN"
 ENVELOPE_SYMBOL = "BTCUSDT"
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 def wrap_envelope(
     payload_json: Column, symbol: Column, received_at: Column
@@ -100,9 +106,10 @@ def rejected(decoded: DataFrame, failed_at: Column, *keep: str) -> DataFrame:
     )
 
 
-def newest_time(trades: DataFrame, column: str = "trade_time"):
-    """Latest event time, a one-row aggregate used as "now" for fixed data."""
-    return trades.agg(F.max(column).alias("t")).first()["t"]
+def newest_time(trades: DataFrame, column: str = "trade_time") -> datetime | None:
+    """Latest event time in UTC, a one-row aggregate used as "now" for fixed data."""
+    micros = trades.agg(F.unix_micros(F.max(column).cast("timestamp")).alias("t")).first()["t"]
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
 def since(trades: DataFrame, moment, hours: int = 1, column: str = "trade_time") -> DataFrame:
@@ -115,6 +122,22 @@ def since(trades: DataFrame, moment, hours: int = 1, column: str = "trade_time")
     return trades.where(F.col(column) >= bound)
 
 
+def recent(table: DataFrame, hours: int = 1) -> DataFrame:
+    """Trades of the last hours of a silver lake table.
+
+    "Now" is the newest trade, looked up in the newest partition; only partitions
+    of the last hours are read. If the newest one holds no times, all are asked.
+    """
+    newest = newest_hour(table)
+    moment = None if newest is None else newest_time(table.where(part_filter(*newest)))
+    moment = moment or newest_time(table)
+    if moment is None:
+        return table.limit(0)
+    held = [moment - timedelta(hours=h) for h in range(hours + 1)]
+    in_hours = [part_filter(at.year, at.month, at.day, at.hour) for at in held]
+    return since(table.where(reduce(Column.__or__, in_hours)), moment, hours)
+
+
 def average_price(trades: DataFrame) -> DataFrame:
     return trades.agg(
         F.round(F.avg("price"), 6).alias("avg_price"), F.count("*").alias("n_trades")

@@ -288,7 +288,7 @@ ON question_id = item_id
 
 def market_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lakes.silver(spark, sf_dir)
-    recent = trade_ops.average_price(trade_ops.since(t, trade_ops.newest_time(t)))
+    recent = trade_ops.average_price(trade_ops.recent(t))
     last = trade_ops.latest_price(t).select("latest_price")
     total = trade_ops.volume(t).select("quantity")
     stats = recent.select(
@@ -319,9 +319,11 @@ def transcript_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRANSCRIPT_SQL = f"""
-SELECT conv_id, turn // {retrieval.TURNS_PER_PAGE} AS page,
+SELECT conv_id, page,
        to_json(list({{'turn': turn, 'role': role, 'text': text}} ORDER BY turn))::VARCHAR AS turns
-FROM conversations GROUP BY ALL
+FROM (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)
+                // {retrieval.TURNS_PER_PAGE} AS page FROM conversations)
+GROUP BY conv_id, page
 """
 
 

@@ -63,15 +63,35 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame as the planner estimates it from its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal a small input out to all cores before heavy work per row.
 
     One small file is one task, however costly its rows are. Only an input below
-    one read split per core is moved, as the planner estimates it; a larger one
-    has splits enough and stays where it is.
+    one read split per core is moved; a larger one has splits enough and stays
+    where it is.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < split * cores else df
+    return df.repartition(cores, key) if estimated_bytes(df) < split * cores else df
+
+
+RANGE_BYTES = 128 * 1024 * 1024
+
+
+def in_ranges(df: DataFrame, *columns: str) -> DataFrame:
+    """Range partition by columns, into ranges that a task can sort in memory.
+
+    Adaptive execution merges ranges that are too small but never splits one, so a
+    frame that is large for the configured number of partitions gets more.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-estimated_bytes(df) // RANGE_BYTES)
+    if needed > configured:
+        return df.repartitionByRange(needed, *columns)
+    return df.repartitionByRange(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +13,14 @@ from newslake.schemas import PARTITIONS, REFINED_ARTICLE, SILVER_TRADE
 from newslake.session import setting
 
 BATCH = "batch"
+WIDTHS = dict(zip(PARTITIONS, (4, 2, 2, 2)))
 SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 SLICE_COLUMNS = ["title", "content", "link", "published_at", "source"]
 
 
 def padded_parts(df: DataFrame) -> DataFrame:
     """Partition columns as the zero-padded text that names the folders."""
-    width = dict(zip(PARTITIONS, (4, 2, 2, 2)))
-    return df.withColumns({p: F.lpad(F.col(p).cast("string"), width[p], "0") for p in PARTITIONS})
+    return df.withColumns({p: F.lpad(F.col(p).cast("string"), WIDTHS[p], "0") for p in PARTITIONS})
 
 
 def write_hours(df: DataFrame, root: str, batch_id: int | None = None) -> None:
@@ -45,10 +47,13 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/{BATCH}={batch_id}"
 
 
-def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The whole lake table; an absent or empty folder gives an empty table."""
+def scan(
+    spark: SparkSession, path: str, schema: T.StructType, root: str | None = None
+) -> DataFrame:
+    """A lake table; an absent or empty folder gives an empty table."""
     try:
-        return spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
+        reader = spark.read.schema(schema).option("basePath", root or path)
+        return reader.parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):
             raise
@@ -70,17 +75,37 @@ def part_filter(
     return condition
 
 
-def scan_slice(
-    spark: SparkSession,
+def slice_folder(
     root: str,
     year: int | None = None,
     month: int | None = None,
     day: int | None = None,
     hour: int | None = None,
+) -> str:
+    """Deepest folder that holds the whole slice: the parts given from the left."""
+    path = root
+    for name, value in zip(PARTITIONS, (year, month, day, hour)):
+        if value is None:
+            break
+        path += f"/{name}={value:0{WIDTHS[name]}d}"
+    return path
+
+
+def scan_part(
+    spark: SparkSession, root: str, schema: T.StructType, **part: int | None
 ) -> DataFrame:
+    """A partition slice of an hour-partitioned table.
+
+    Reading starts at the slice's folder, so the folders of other hours are not
+    even listed; parts that are given after a wildcard are pruned as usual.
+    """
+    folder = slice_folder(root, **part)
+    return scan(spark, folder, schema, root).where(part_filter(**part))
+
+
+def scan_slice(spark: SparkSession, root: str, **part: int | None) -> DataFrame:
     """Articles of a partition slice, the five columns that ingest needs."""
-    table = scan(spark, root, REFINED_ARTICLE)
-    return table.where(part_filter(year, month, day, hour)).select(*SLICE_COLUMNS)
+    return scan_part(spark, root, REFINED_ARTICLE, **part).select(*SLICE_COLUMNS)
 
 
 def slice_path(
@@ -100,8 +125,8 @@ def slice_exists(spark: SparkSession, root: str, year: int, month: int, day: int
     """Whether the partition holds data; a failing probe counts as yes, since the
     ingest that follows will report the problem."""
     try:
-        rows = scan(spark, root, REFINED_ARTICLE).where(part_filter(year, month, day, hour))
-        return not rows.select("hour").isEmpty()
+        part = {"year": year, "month": month, "day": day, "hour": hour}
+        return not scan_part(spark, root, REFINED_ARTICLE, **part).select("hour").isEmpty()
     except Exception:
         return True
 
@@ -111,6 +136,14 @@ def filled_hours(table: DataFrame) -> DataFrame:
     return table.select(*PARTITIONS).distinct()
 
 
+def newest_hour(table: DataFrame) -> tuple[int, int, int, int] | None:
+    """Newest partition of a lake table, from the names of its files, which the
+    table has listed already; nothing is read."""
+    pattern = "/".join(rf"{p}=(\d+)" for p in PARTITIONS)
+    found = (re.search(pattern, name) for name in table.inputFiles())
+    return max((tuple(map(int, m.groups())) for m in found if m), default=None)
+
+
 def trades_view(spark: SparkSession, root: str, name: str = "trades") -> DataFrame:
     """Expose the silver files as a session-local SQL view."""
     table = scan(spark, root, SILVER_TRADE)

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from newslake.operators import news, sqltool
+from newslake.operators import news, sqltool, trades
 from newslake.schemas import REFINED_ARTICLE, SILVER_TRADE
 from newslake.sources import lake
 
@@ -58,6 +58,13 @@ def test_slices_prune_partitions_and_columns(spark, refined_root):
     assert "content_length" not in text.split("ReadSchema")[1]
 
 
+def test_a_full_slice_lists_its_own_folder_only(spark, refined_root):
+    one = lake.scan_slice(spark, refined_root, year=2026, month=1, day=27, hour=0)
+    listed = one.inputFiles()
+    assert listed and all("/month=01/day=27/hour=00/" in name for name in listed)
+    assert lake.newest_hour(lake.scan(spark, refined_root, REFINED_ARTICLE)) == (2026, 2, 2, 3)
+
+
 def test_probe_and_missing_lake(spark, refined_root, folder):
     assert lake.slice_exists(spark, refined_root, 2026, 1, 27, 0)
     assert not lake.slice_exists(spark, refined_root, 2026, 1, 27, 1)
@@ -140,6 +147,14 @@ def test_sql_answers(spark, silver_root):
     assert sqltool.query_trades_text(spark, "SELECT * FROM trades WHERE price < 0", silver_root) == "[]"
 
 
+def test_recent_reads_the_last_hours_only(spark, silver_root):
+    recent = trades.recent(lake.scan(spark, silver_root, SILVER_TRADE))
+    assert recent.count() == 4
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "hour" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(trade_time" in plan
+
+
 def test_sql_errors_are_text(spark, silver_root):
     def ask(sql):
         return sqltool.query_trades_text(spark, sql, silver_root)
