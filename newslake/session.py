@@ -82,16 +82,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 RANGE_BYTES = 128 * 1024 * 1024
+UNKNOWN_BYTES = 2**62
+MOST_RANGES = 100_000  # beyond this, tasks cost more than smaller ranges save
 
 
 def in_ranges(df: DataFrame, *columns: str) -> DataFrame:
     """Range partition by columns, into ranges that a task can sort in memory.
 
     Adaptive execution merges ranges that are too small but never splits one, so a
-    frame that is large for the configured number of partitions gets more.
+    frame that is large for the configured number of partitions gets more. A frame
+    of unknown size, which the planner takes for endless, gets the configured ones.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-estimated_bytes(df) // RANGE_BYTES)
-    if needed > configured:
+    size = estimated_bytes(df)
+    needed = min(-(-size // RANGE_BYTES), MOST_RANGES)
+    if size < UNKNOWN_BYTES and needed > configured:
         return df.repartitionByRange(needed, *columns)
     return df.repartitionByRange(*columns)

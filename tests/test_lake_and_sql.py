@@ -151,7 +151,7 @@ def test_recent_reads_the_last_hours_only(spark, silver_root):
     recent = trades.recent(lake.scan(spark, silver_root, SILVER_TRADE))
     assert recent.count() == 4
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "hour" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(trade_time" in plan
 
 
