@@ -80,6 +80,8 @@ def embed_batch(
     A batch that fails is halved until the failing texts stand alone. Only these
     are retried, one wait after each attempt, and only these end with an error.
     """
+    if len(texts) == 0:
+        return [], []
     if len(texts) == 1:
         vector = _one_with_retries(embedder, texts, waits)
         return [vector], [GAVE_UP if vector is None else None]

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newslake.functions import text, times
-from newslake.operators import chunk, decode, dedup, embed, metrics, news, vectors
+from newslake.operators import chunk, decode, dedup, embed, metrics, news, publish, vectors
 from newslake.schemas import REFINED_MESSAGE
 from newslake.session import settle
 from newslake.sources import lake
-from newslake.streaming.runs import each_batch
+from newslake.sources.messages import DEAD_LETTER_TOPIC
+from newslake.streaming.runs import each_batch, send
 
 
 def new_articles(loaded: DataFrame, stored: DataFrame, *order: str) -> DataFrame:
@@ -84,6 +85,7 @@ def write_vectors(
     embedder: embed.Embedder,
     dimension: int,
     waits: Sequence[float] | None = None,
+    servers: str | None = None,
 ) -> None:
     """One micro-batch of refined articles to the vector table, whole articles.
 
@@ -115,6 +117,8 @@ def write_vectors(
     )
     letters = malformed.unionByName(failed).unionByName(wrong_size)
     letters.write.mode("overwrite").parquet(lake.batch_path(f"{root}_dead_letter", batch_id))
+    if servers:
+        send(letters.select(publish.as_json(letters).alias("value")), DEAD_LETTER_TOPIC, servers)
 
 
 def start(
@@ -125,8 +129,11 @@ def start(
     dimension: int = embed.DIMENSION,
     bounded: bool = False,
     waits: Sequence[float] | None = None,
+    servers: str | None = None,
 ) -> StreamingQuery:
+    """Embed what arrives. With ``servers``, dead letters are also published."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_vectors(batch, batch_id, root, embedder, dimension, waits)
+        write_vectors(batch, batch_id, root, embedder, dimension, waits, servers)
 
     return each_batch(messages, handle, checkpoint, bounded)

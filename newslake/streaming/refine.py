@@ -10,27 +10,22 @@ from newslake.operators import decode, news, publish
 from newslake.schemas import RAW_ARTICLE
 from newslake.sources.lake import batch_path, write_hours
 from newslake.sources.messages import REFINED_TOPIC
-from newslake.streaming.runs import each_batch
-
-
-def publish_batch(rows: DataFrame, batch_id: int, out: str, servers: str | None) -> None:
-    """Send messages to the broker, or to text files where there is none."""
-    if servers:
-        rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option(
-            "topic", out
-        ).save()
-    else:
-        rows.select("value").write.mode("overwrite").text(batch_path(out, batch_id))
+from newslake.streaming.runs import each_batch, send
 
 
 def write_refined(
     batch: DataFrame, batch_id: int, root: str, servers: str | None = None
 ) -> None:
+    """One micro-batch to the lake, the dead letters, and the refined topic, or text
+    files where there is no broker."""
     raw = decode.valid_only(batch, RAW_ARTICLE, "arrived_at")
     refined = news.refine(raw, anchor=F.col("arrived_at"))
     write_hours(refined, f"{root}/refined", batch_id)
-    out = REFINED_TOPIC if servers else f"{root}/messages"
-    publish_batch(publish.refined_messages(refined), batch_id, out, servers)
+    sent = publish.refined_messages(refined)
+    if servers:
+        send(sent, REFINED_TOPIC, servers)
+    else:
+        sent.write.mode("overwrite").text(batch_path(f"{root}/messages", batch_id))
     bad = decode.quarantine(batch, RAW_ARTICLE)
     bad.write.mode("overwrite").parquet(batch_path(f"{root}/dead_letter", batch_id))
 

@@ -11,6 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 TRIGGER = "5 minutes"
 
 
+def send(messages: DataFrame, topic: str, servers: str) -> None:
+    """Publish ``value`` (and ``key``, if any) to a topic. Delivery is at least
+    once: a replayed batch is sent again, and readers drop what they hold."""
+    writer = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    writer.option("topic", topic).save()
+
+
 def each_batch(
     stream: DataFrame,
     handle: Callable[[DataFrame, int], None],

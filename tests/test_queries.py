@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -20,10 +21,19 @@ def con():
     return database(SF)
 
 
+# Only these may run Python in the plan they return.
+PYTHON = {"chunk_recursive", "embed_hashed", "embed_retry_dlq", "vector_topk", "batch_retrieval",
+          "context_or_default"}
+
+
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    frame = entry.queries()[name](spark, SF).toPandas()
+    df = entry.queries()[name](spark, SF)
+    frame = df.toPandas()
     assert len(frame) > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert name in PYTHON or not re.search("ArrowEvalPython|MapInArrow|EvalPython", plan)
     if name in SQL:
         assert differences(frame, con.execute(SQL[name]).df()) is None
 
