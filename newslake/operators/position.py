@@ -56,6 +56,13 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "posi
     return running_total(df, keys, order, F.lit(1).cast("long"), name)
 
 
+def block_of(position: Column, block_rows: int) -> Column:
+    """Number of the block that holds a position counted from 1, without the
+    rounding of a division."""
+    before = position - 1
+    return ((before - before % block_rows) / block_rows).cast("long")
+
+
 def row_frames(
     df: DataFrame,
     keys: list[str],
@@ -72,7 +79,7 @@ def row_frames(
     to a function of the (ordered) block window.
     """
     rows = numbered(df, keys, order, "_pos")
-    block = F.floor((F.col("_pos") - 1) / block_rows)
+    block = block_of(F.col("_pos"), block_rows)
     tail = (F.col("_pos") - 1) % block_rows >= block_rows - preceding
     homes = F.when(tail, F.array(block, block + 1)).otherwise(F.array(block))
     copies = rows.withColumn("_block", F.explode(homes))

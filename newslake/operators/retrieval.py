@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import NO_TITLE, or_none
-from newslake.operators.position import numbered
+from newslake.operators.position import block_of, numbered
 
 # Separator of context entries and the two fallback texts.
 RULE = "\n\n---\n\n"
@@ -79,7 +79,7 @@ def transcript(turns: DataFrame, turns_per_page: int = TURNS_PER_PAGE) -> DataFr
     """
     listed = turns.withColumn("_row", F.monotonically_increasing_id())
     placed = numbered(listed, ["conv_id"], ["turn", "_row"], "_place")
-    page = F.floor((F.col("_place") - 1) / turns_per_page).cast("long")
+    page = block_of(F.col("_place"), turns_per_page)
     lines = F.sort_array(F.collect_list(F.struct("_place", "turn", "role", "text")))
     shown = F.transform(
         lines, lambda x: F.struct(*[x[f].alias(f) for f in ("turn", "role", "text")])
