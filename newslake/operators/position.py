@@ -15,14 +15,32 @@ from newslake.session import in_ranges, settle
 BLOCK_ROWS = 1_000_000
 
 
+def _before_ranges(ranged: DataFrame, keys: list[str], *measures: Column) -> DataFrame:
+    """Per (key, range): the given measures, of which ``_sum`` is also added up over
+    the ranges before. About ranges + keys rows; settled, so that the planner knows
+    how small it is and leaves the rows where they are when joining it."""
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*keys, "_range").agg(*measures)
+    before = F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
+    return settle(sums.withColumn("_before", before), "range-sums")
+
+
+def _with_ranges(ranged: DataFrame, before: DataFrame, keys: list[str]) -> DataFrame:
+    """Join by range and key; null keys match each other."""
+    r, b = ranged.alias("r"), before.alias("b")
+    same = F.col("r._range") == F.col("b._range")
+    for key in keys:
+        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"b.{key}"))
+    return r.join(b, same)
+
+
 def running_total(
     df: DataFrame, keys: list[str], order: list[str], weight: Column, name: str
 ) -> DataFrame:
     """Inclusive running sum of ``weight`` per key in the given order.
 
     1. Sort into ranges of (keys, order). ``order`` must be unique within a key.
-    2. Sum per (range, key), a table of about ranges + keys rows, and turn it into
-       the total of the ranges before.
+    2. Sum per (range, key) and turn it into the total of the ranges before.
     3. Add the running sum inside the (range, key), which is never larger than a
        range.
 
@@ -33,27 +51,32 @@ def running_total(
         {"_range": F.spark_partition_id(), "_weight": weight}
     )
     ranged = settle(ranged, "ranges")
-    whole = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ranged.groupBy(*keys, "_range")
-        .agg(F.sum("_weight").alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(whole), F.lit(0)))
-        .drop("_sum")
-    )
+    before = _before_ranges(ranged, keys, F.sum("_weight").alias("_sum"))
     inside = Window.partitionBy(*keys, "_range").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = ranged.withColumn("_inside", F.sum("_weight").over(inside))
-    c, b = counted.alias("c"), before.alias("b")
-    same = F.col("c._range") == F.col("b._range")
-    for key in keys:
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"b.{key}"))
-    total = F.col("b._before") + F.col("c._inside")
-    return c.join(b, same).select(*[f"c.{n}" for n in df.columns], total.alias(name))
+    total = F.col("b._before") + F.col("r._inside")
+    joined = _with_ranges(counted, before, keys)
+    return joined.select(*[f"r.{n}" for n in df.columns], total.alias(name))
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
-    """Row number from 1 within the key, in the given unique order."""
-    return running_total(df, keys, order, F.lit(1).cast("long"), name)
+    """Row number from 1 within the key, in the given unique order.
+
+    As ``running_total``, but the ranges are written in order with a row id that
+    counts up inside them, so nothing is shuffled or sorted a second time.
+    """
+    ranged = in_ranges(df, *keys, *order).sortWithinPartitions(*keys, *order)
+    ranged = ranged.withColumns(
+        {"_range": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}
+    )
+    ranged = settle(ranged, "ranges")
+    before = _before_ranges(
+        ranged, keys, F.count("*").alias("_sum"), F.min("_id").alias("_first")
+    )
+    position = F.col("b._before") + F.col("r._id") - F.col("b._first") + 1
+    joined = _with_ranges(ranged, before, keys)
+    return joined.select(*[f"r.{n}" for n in df.columns], position.alias(name))
 
 
 def block_of(position: Column, block_rows: int) -> Column:
