@@ -8,10 +8,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from newslake.plans import registry
 from tests.compare import database, differences
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = registry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -26,9 +27,9 @@ PYTHON = {"chunk_recursive", "embed_hashed", "embed_retry_dlq", "vector_topk", "
           "context_or_default"}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.queries()[name](spark, SF)
     frame = df.toPandas()
     assert len(frame) > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -43,4 +44,5 @@ def test_entry(spark):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.queries()) <= set(entry.queries())
