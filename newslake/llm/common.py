@@ -32,3 +32,19 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch
             yield from f(batch)
 
     return df.mapInArrow(each, schema)
+
+
+def pack_texts(column: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Byte sizes and compressed bytes of texts: what a shuffle of whole texts should carry."""
+    codec = pa.Codec("zstd", compression_level=1)
+    texts = [t.as_buffer() or pa.py_buffer(b"") for t in column.cast(pa.large_binary())]
+    packed = [codec.compress(t, asbytes=True) if t.size else b"" for t in texts]
+    return pa.array([t.size for t in texts], pa.int64()), pa.array(packed, pa.binary())
+
+
+def unpack_texts(sizes: pa.Array, packed: pa.Array) -> list[bytes]:
+    codec = pa.Codec("zstd")
+    return [
+        codec.decompress(p.as_buffer(), decompressed_size=n, asbytes=True) if n else b""
+        for n, p in zip(sizes.to_pylist(), packed, strict=True)
+    ]

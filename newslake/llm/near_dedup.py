@@ -10,9 +10,10 @@ dropped; all others are confirmed on the full sets.
 
 * Documents with equal sets are one class, with the smallest id as its representative; only
   representatives meet in buckets, so copies cost nothing further.
-* In a bucket, only the smallest and the largest member are compared with all others. Members that
-  are then in another component than one of those are compared with every member outside their own component, so no
-  link between components is lost, and a large group of near copies costs a few pairs per member.
+* In a bucket, only two members are compared with all others: the smallest, and the most central one (that with
+  most company over all its buckets; the text that near copies were made from is met by more of them than they meet
+  each other). Members that are then in another component than both are compared with every member outside their own
+  component, so no link between components is lost; the join that pairs them lets only pairs with plausible sketches out.
 * Components: smallest id by propagation with pointer jumping, as tables in the shared folder.
 
 Null or wordless text has an empty set, is linked with nothing and kept. A row with a null id is
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import map_batches, text_or_empty
+from newslake.llm.common import map_batches, pack_texts, text_or_empty, unpack_texts
 from newslake.llm.textbytes import M1, mix, runs, words
 from newslake.session import settle
 
@@ -108,7 +109,7 @@ def _least_plausible() -> float:
     return float(j - 6 * np.hypot(np.sqrt(j * (1 - j) / SAMPLES), sketch))
 
 
-FEATURES = "doc_id long, n_shingles long, low long, high long, bands array<long>, sketch binary"
+FEATURES = "doc_id long, n_shingles long, low long, high long, bands array<long>, sketch array<long>"
 
 
 def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
@@ -131,20 +132,26 @@ def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
                     key = mix(key, minima[:, band * ROWS + row])
                 keys[:, band] = key
             for i, k, s in zip(np.flatnonzero(some), keys.view(np.int64), odd_sketches(minima), strict=True):
-                bands[i], sketch[i] = k, s.tobytes()
+                bands[i], sketch[i] = k, s.view(np.int64)
         out.append(pa.RecordBatch.from_arrays(
             [batch.column("doc_id").slice(run.first, len(size)), pa.array(size, pa.int64()), pa.array(low.view(np.int64)),
-             pa.array(high.view(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+             pa.array(high.view(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
             ["doc_id", "n_shingles", "low", "high", "bands", "sketch"]))
     return out
 
 
+PACKED = "doc_id long, size long, packed binary"
 SETS = "doc_id long, members binary"
 
 
+def _pack(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    sizes, packed = pack_texts(batch.column("text"))
+    return [pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, packed], ["doc_id", "size", "packed"])]
+
+
 def _sets(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     out = []
-    for run in runs(batch.column("text")):
+    for run in runs(pa.array(unpack_texts(batch.column("size"), batch.column("packed")), pa.binary())):
         value, begins = shingles(run, SHINGLE)
         members = [value[a:b].tobytes() for a, b in zip(begins, begins[1:])]
         out.append(pa.RecordBatch.from_arrays(
@@ -152,15 +159,6 @@ def _sets(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     return out
 
 
-def _near(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-    """Pairs whose sketches do not rule the threshold out."""
-    a = np.frombuffer(b"".join(batch.column("sketch_a").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-    b = np.frombuffer(b"".join(batch.column("sketch_b").to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-    small, large = (f(batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy()) for f in (np.minimum, np.maximum))
-    keep = (estimate(np.bitwise_count(a ^ b).sum(axis=1)) >= LEAST) & (100 * small >= PERCENT * large)
-    return [batch.select(["a", "b"]).filter(pa.array(keep))]
-
-
 def _confirm(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     keep = []
     for x, y in zip(batch.column("members_a"), batch.column("members_b"), strict=True):
@@ -171,19 +169,30 @@ def _confirm(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
 
 
 LEAST = _least_plausible()
+WORDS = SKETCH_BITS // 64
+# Most differing bits of two sketches whose estimate is still plausible.
+MOST_BITS = int(np.flatnonzero(estimate(np.arange(SKETCH_BITS // 2)) >= LEAST).max())
+
+
+def _plausible(x: str, y: str) -> Column:
+    """The sizes and the sketches of two sides do not rule the threshold out."""
+    bits = sum((F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))) for i in range(WORDS)), F.lit(0))
+    size = [F.col(f"{side}.n_shingles") for side in (x, y)]
+    return (bits <= MOST_BITS) & (100 * F.least(*size) >= PERCENT * F.greatest(*size))
 
 
 def _likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) that their sketches let pass."""
-    side = lambda x: heads.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))
-    joined = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    return map_batches(joined, _near, "a long, b long")
+    one = pairs.distinct().join(heads.withColumnRenamed("doc_id", "a"), "a").alias("x")
+    return one.join(heads.withColumnRenamed("doc_id", "b").alias("y"), (F.col("x.b") == F.col("y.b")) & _plausible("x", "y")).select("x.a", "x.b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs confirmed on full sets. Only documents that occur in a pair leave their partition."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(wanted, "doc_id", "left_semi")
+def _confirmed(pairs: DataFrame, docs: DataFrame, hint: str | None = None) -> DataFrame:
+    """Pairs confirmed on full sets. The texts of documents that occur in a pair travel compressed."""
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+    wanted = settle(wanted, "near-wanted")
+    texts = map_batches(docs.select("doc_id", text_or_empty().alias("text")), _pack, PACKED)
+    texts = texts.join(wanted.hint(hint) if hint else wanted, "doc_id", "left_semi")
     sets = settle(map_batches(texts, _sets, SETS), "near-sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("members").alias(f"members_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -216,27 +225,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = settle(filled.join(classes.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
                    .dropDuplicates(["doc_id"]), "near-heads")
     rows = heads.select(F.explode("bands").alias("bucket"), "doc_id")
-    shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    buckets = settle(rows.join(shared, "bucket"), "near-buckets")
-    first = buckets.where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).union(
-        buckets.where("doc_id < most").select(F.col("doc_id").alias("a"), F.col("most").alias("b")))
-    small = heads.select("doc_id", "n_shingles", "sketch")
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
+    shared = settle(rows.join(sizes, "bucket"), "near-shared")
+    company = shared.groupBy("doc_id").agg(F.sum("n").alias("company"))
+    central = shared.join(company, "doc_id").groupBy("bucket").agg(F.max(F.struct("company", "doc_id"))["doc_id"].alias("most"))
+    buckets = settle(shared.drop("n").join(central, "bucket"), "near-buckets")
+    ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    first = buckets.select("doc_id", F.explode(F.array("least", "most")).alias("y")).where("doc_id <> y").withColumnRenamed("doc_id", "x").select(*ordered)
+    small = heads.select("doc_id", "n_shingles", *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)))
     likely = settle(_likely(first, small), "near-likely")
-    links = settle(_confirmed(likely, docs), "near-confirmed")
+    # The ids wanted grow with the documents: a plan that does not count on broadcasting them.
+    links = settle(_confirmed(likely, docs, "merge"), "near-confirmed")
     state = components(links)
-    # What is left: members outside the component of their bucket's first or last member.
+    # What is left: members outside the components of both of their bucket's leaders, and leaders' components not yet linked.
     of = lambda x, y: state.select(F.col("doc_id").alias(x), F.col("component_id").alias(y))
     placed = buckets.join(of("doc_id", "own"), "doc_id", "left").join(of("least", "low"), "least", "left").join(of("most", "top"), "most", "left").select(
-        "bucket", "doc_id", *(F.coalesce(c, d).alias(c) for c, d in (("own", "doc_id"), ("low", "least"), ("top", "most"))), "least", "most")
+        "bucket", "doc_id", *(F.coalesce(c, d).alias(c) for c, d in (("own", "doc_id"), ("low", "least"), ("top", "most"))))
+    # Leaders have met every member, so they need no partner here.
+    placed = placed.join(buckets.select("bucket", "least", "most").distinct(), "bucket").where("doc_id <> least and doc_id <> most").drop("least", "most")
     placed = settle(placed, "near-placed")
-    # Rows of a bucket may still hide a link if some member is in neither the first's nor the last's component.
-    loose = placed.where("own <> low and own <> top").select("bucket", F.col("doc_id").alias("x"), F.col("own").alias("own_x"))
-    others = placed.where("doc_id <> least and doc_id <> most").select("bucket", F.col("doc_id").alias("y"), F.col("own").alias("own_y"))
-    rest = loose.join(others, "bucket").where("own_x <> own_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    split = placed.where("low <> top and (own = low or own = top) and doc_id <> least and doc_id <> most")
-    across = split.where("own = low").select("bucket", F.col("doc_id").alias("x")).join(
-        split.where("own = top").select("bucket", F.col("doc_id").alias("y")), "bucket").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = settle(_likely(rest.union(across), small), "near-likely")
+    mixed = placed.where("own <> low or low <> top").select("bucket").distinct()
+    placed = settle(placed.join(mixed, "bucket", "left_semi").join(small, "doc_id"), "near-mixed")
+    loose = placed.where("own <> low and own <> top").alias("x")
+    rest = loose.join(placed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") != F.col("y.own")) & _plausible("x", "y"))
+    split = placed.where("low <> top")
+    across = split.where("own = low").alias("x").join(
+        split.where("own = top").alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & _plausible("x", "y"))
+    more = rest.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y")).union(
+        across.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y"))).select(*ordered).distinct()
+    more = settle(more, "near-likely")
     if more.take(1):
         state = components(links.union(settle(_confirmed(more, docs), "near-confirmed")))
     member = filled.select("doc_id", "low", "high", "n_shingles").join(classes, ["low", "high", "n_shingles"]).select("doc_id", "head").distinct()

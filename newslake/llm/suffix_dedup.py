@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import SMALLEST, map_batches, text_or_empty
+from newslake.llm.common import SMALLEST, map_batches, pack_texts, text_or_empty, unpack_texts
 from newslake.llm.suffix_sort import sort_suffixes
 from newslake.llm.textbytes import M1, mix, runs, sliding_min, window_hashes
 from newslake.session import settle
@@ -46,7 +46,6 @@ MOST_BLOCKS = 2048  # different blocks of one minimum that are sorted together;
 SORT_STARTS = 1 << 20  # suffixes sorted at once
 VERSION = 0xFFFFFF
 _RANKS = np.multiply.accumulate(np.full(MOST_STARTS, 0xD6E8FEB86659FD93, np.uint64))
-_CODEC = "zstd"
 
 
 def _pack(start: np.ndarray, count: np.ndarray, version: np.ndarray) -> np.ndarray:
@@ -177,22 +176,13 @@ PACKED = "doc_id long, doc long, version int, n_bytes long, packed binary"
 
 
 def _compress(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-    codec = pa.Codec(_CODEC, compression_level=1)
-    texts = [t.as_buffer() or pa.py_buffer(b"") for t in batch.column("text").cast(pa.large_binary())]
-    packed = [codec.compress(t, asbytes=True) if t.size else b"" for t in texts]
     out = [batch.column(c) for c in ("doc_id", "doc", "version")]
-    out += [pa.array([t.size for t in texts], pa.int64()), pa.array(packed, pa.binary())]
-    return pa.RecordBatch.from_arrays(out, ["doc_id", "doc", "version", "n_bytes", "packed"]),
+    return pa.RecordBatch.from_arrays([*out, *pack_texts(batch.column("text"))], ["doc_id", "doc", "version", "n_bytes", "packed"]),
 
 
 def _texts(batch: pa.RecordBatch, first: int, last: int) -> list[bytes]:
-    codec = pa.Codec(_CODEC)
-    sizes = batch.column("n_bytes").to_pylist()
-    packed = batch.column("packed")
-    return [
-        codec.decompress(packed[i].as_buffer(), decompressed_size=sizes[i], asbytes=True) if sizes[i] else b""
-        for i in range(first, last)
-    ]
+    part = batch.slice(first, last - first)
+    return unpack_texts(part.column("n_bytes"), part.column("packed"))
 
 
 def _pieces(batch: pa.RecordBatch, target: int) -> Iterator[tuple[int, int]]:
