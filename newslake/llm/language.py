@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslake.llm.common import fold, map_batches, text_or_empty
 from newslake.llm.sampling import one_per_id, stratified
@@ -169,30 +170,29 @@ def fit(docs: DataFrame) -> LanguageModel | None:
     return LanguageModel(_step(x, family), {f: _step(x[family == f], names[family == f]) for f in sorted(set(family))})
 
 
-RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
-
-
-def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
-        text_or_empty().alias("text"),
-        text_or_empty().rlike(r"\p{L}").alias("letters"),
-    )
+def labelled(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """The rows with ``lang_pred`` and ``score`` added (replacing columns of these names)."""
+    rows = docs.drop("lang_pred", "score", "_letters").withColumn("_letters", text_or_empty().rlike(r"\p{L}"))
+    names = docs.drop("lang_pred", "score", "_letters").columns
 
     def label(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         out = []
-        letters = batch.column("letters").to_numpy(zero_copy_only=False)
+        letters = batch.column("_letters").to_numpy(zero_copy_only=False)
         for run in runs(batch.column("text")):
             n = run.last - run.first
-            names, score = (np.full(n, UNKNOWN, object), np.zeros(n)) if model is None else model.predict(run)
-            names = np.where(letters[run.first : run.last], names, UNKNOWN)
+            found, score = (np.full(n, UNKNOWN, object), np.zeros(n)) if model is None else model.predict(run)
+            found = np.where(letters[run.first : run.last], found, UNKNOWN)
             score = np.where(letters[run.first : run.last], score, 0.0)
             part = batch.slice(run.first, n)
             out.append(pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()), pa.array(score)],
-                ["doc_id", "held_out", "lang_pred", "score"]))
+                [*(part.column(c) for c in names), pa.array(found, pa.string()), pa.array(score)], [*names, "lang_pred", "score"]))
         return out
 
-    return map_batches(rows, label, RESULT)
+    schema = T.StructType([*rows.drop("_letters").schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return map_batches(rows, label, schema)
+
+
+def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """Per row: doc_id, held_out, lang_pred, score."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "text")
+    return labelled(rows, model).drop("text")

@@ -104,13 +104,34 @@ def draw() -> Column:
     return F.xxhash64(F.lit(SEED), F.coalesce(F.col("doc_id"), F.lit(-1).cast("long"))).bitwiseAND((1 << 53) - 1) / F.lit(float(1 << 53))
 
 
+def chances(rows: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
+    """(source, lang, topic, probability) of each cell of labelled rows."""
+    cells = settle(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    wanted = {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}
+    return settle(probabilities(rake(cells, wanted), budget).drop("tokens", "weight"), "chances")
+
+
+def _with_chance(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with ``probability`` and ``taken``; labels as columns _source, _lang and topic."""
+    same = reduce(lambda a, b: a & b, (F.col(f"r.{r}") == F.col(f"c.{c}") for r, c in zip(("_source", "_lang", "topic"), DIMENSIONS, strict=True)))
+    p = F.when(F.col("tokens") > 0, F.coalesce("c.probability", F.lit(0.0))).otherwise(0.0)
+    joined = rows.alias("r").join(found.alias("c"), same, "left").select("r.*", p.alias("probability"))
+    return joined.withColumn("taken", draw() < F.col("probability"))
+
+
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
     """Per row: doc_id, source, lang, topic, tokens, probability and whether it is taken."""
     rows = labelled(docs)
-    cells = settle(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
-    wanted = {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}
-    chances = probabilities(rake(cells, wanted), budget).drop("tokens", "weight")
-    chances = settle(chances, "chances")
-    same = reduce(lambda a, b: a & b, (F.col(f"r.{d}") == F.col(f"c.{d}") for d in DIMENSIONS))
-    p = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
-    return rows.alias("r").join(chances.alias("c"), same, "left").select("doc_id", *(f"r.{d}" for d in DIMENSIONS), "tokens", p.alias("probability"), (draw() < p).alias("taken"))
+    found = chances(rows, targets, budget)
+    rows = rows.withColumnsRenamed({"source": "_source", "lang": "_lang"})
+    return _with_chance(rows, found).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic", "tokens", "probability", "taken")
+
+
+def sampled(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
+    """The documents taken, with topic, tokens and probability added."""
+    found = chances(labelled(docs), targets, budget)
+    rows = docs.withColumns({"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")), "_raw": F.col("text")})
+    rows = rows.withColumn("text", text_or_empty())
+    rows = computed_once(rows, "topic", topic()).withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")).cast("long"))
+    rows = rows.withColumn("text", F.col("_raw")).drop("_raw")
+    return _with_chance(rows, found).where("taken").drop("_source", "_lang", "taken")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,5 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_tools, op2_suffix_dedup, op3_quality_mil, op4_toxicity, op5_language, op6_token_counts,
               op7_quality_votes, op8_near_dedup, op9_decontaminate, op10_mixing)
-}
+} | {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"op9_decontaminate": decontaminate.SQL}

@@ -175,9 +175,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PACKED = "doc_id long, doc long, version int, n_bytes long, packed binary"
 
 
-def _compress(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-    out = [batch.column(c) for c in ("doc_id", "doc", "version")]
-    return pa.RecordBatch.from_arrays([*out, *pack_texts(batch.column("text"))], ["doc_id", "doc", "version", "n_bytes", "packed"]),
+def _compress(carry: list[str]):
+    """Texts compressed, beside the ids and carried columns."""
+
+    def f(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        out = [batch.column(c) for c in ("doc_id", "doc", "version")]
+        out += [*pack_texts(batch.column("text")), *(batch.column(f"_{c}") for c in carry)]
+        return [pa.RecordBatch.from_arrays(out, ["doc_id", "doc", "version", "n_bytes", "packed", *(f"_{c}" for c in carry)])]
+
+    return f
 
 
 def _texts(batch: pa.RecordBatch, first: int, last: int) -> list[bytes]:
@@ -364,6 +370,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _remove(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     out = []
+    carried = [c for c in batch.schema.names if c.startswith("_")]
     lists, ids = batch.column("ranges"), batch.column("doc_id")
     for first, last in _pieces(batch, 1 << 22):
         texts = _texts(batch, first, last)
@@ -387,8 +394,8 @@ def _remove(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         sizes = batch.column("n_bytes").slice(first, last - first)
         out.append(pa.RecordBatch.from_arrays(
             [ids.slice(first, last - first), sizes, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-             pa.array(digests, pa.string()), pa.array(kept, pa.binary())],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]))
+             pa.array(digests, pa.string()), pa.array(kept, pa.binary()), *(batch.column(c).slice(first, last - first) for c in carried)],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(c[1:] for c in carried)]))
     return out
 
 
@@ -403,22 +410,25 @@ def removed_ranges(keyed: DataFrame) -> DataFrame:
     per_doc = open_blocks.groupBy("doc", F.col("pack").bitwiseAND(VERSION).cast("int").alias("version")).agg(
         F.collect_list(F.struct("h", "pack", "crowded")).alias("blocks")
     )
-    texts = map_batches(keyed, _compress, PACKED).drop("doc_id")
+    texts = map_batches(keyed, _compress([]), PACKED).drop("doc_id")
     compared = map_batches(texts.join(per_doc, ["doc", "version"]), _spread_starts, COMPARED)
     decided = compared.repartition("key").sortWithinPartitions("key", "second", "doc", "start").mapInArrow(_decide, RANGES)
     return met.where("h is null").select("doc", "pack").unionByName(settle(decided, "suffix-repeats").select("doc", "pack"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes, ``kept``."""
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, the remaining bytes ``kept``, and string columns to carry along."""
+    carry = carry or []
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(SMALLEST)).alias("doc"),
         F.hash(text_or_empty()).bitwiseAND(VERSION).alias("version"),
         text_or_empty().cast("binary").alias("text"),
+        *(F.col(c).cast("string").alias(f"_{c}") for c in carry),
     )
-    ranges = removed_ranges(keyed).groupBy("doc", F.col("pack").bitwiseAND(VERSION).cast("int").alias("version")).agg(
+    ranges = removed_ranges(keyed.drop(*(f"_{c}" for c in carry))).groupBy("doc", F.col("pack").bitwiseAND(VERSION).cast("int").alias("version")).agg(
         F.collect_list("pack").alias("ranges")
     )
-    texts = map_batches(keyed, _compress, PACKED)
-    return map_batches(texts.join(ranges, ["doc", "version"], "left"), _remove, RESULT)
+    texts = map_batches(keyed, _compress(carry), ", ".join([PACKED, *(f"_{c} string" for c in carry)]))
+    schema = ", ".join([RESULT, *(f"{c} string" for c in carry)])
+    return map_batches(texts.join(ranges, ["doc", "version"], "left"), _remove, schema)
