@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALLEST = -(2**63)
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000  # whole texts: an Arrow batch must stay small beside an executor's memory
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +27,10 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Map each Arrow batch on its own."""
+    """Map each Arrow batch on its own. The session's batches are made no larger than ``BATCH_ROWS`` rows."""
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_KEY, "10000")) > BATCH_ROWS:
+        conf.set(BATCH_KEY, str(BATCH_ROWS))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
