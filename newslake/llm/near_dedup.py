@@ -13,7 +13,9 @@ dropped; all others are confirmed on the full sets.
 * In a bucket, only two members are compared with all others: the smallest, and the most central one (that with
   most company over all its buckets; the text that near copies were made from is met by more of them than they meet
   each other). Members that are then in another component than both are compared with every member outside their own
-  component, so no link between components is lost; the join that pairs them lets only pairs with plausible sketches out.
+  component, so no link between components is lost. The join that pairs them lets only pairs out whose sketches are plausible
+  and whose shared shingles can suffice: a shingle that no other such member has is in no intersection, so a heavily
+  edited copy is ruled out against a whole group at once.
 * Components: smallest id by propagation with pointer jumping, as tables in the shared folder.
 
 Null or wordless text has an empty set, is linked with nothing and kept. A row with a null id is
@@ -141,7 +143,7 @@ def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
 
 
 PACKED = "doc_id long, size long, packed binary"
-SETS = "doc_id long, members binary"
+SETS = "doc_id long, members array<long>"
 
 
 def _pack(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
@@ -153,16 +155,15 @@ def _sets(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     out = []
     for run in runs(pa.array(unpack_texts(batch.column("size"), batch.column("packed")), pa.binary())):
         value, begins = shingles(run, SHINGLE)
-        members = [value[a:b].tobytes() for a, b in zip(begins, begins[1:])]
-        out.append(pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").slice(run.first, len(members)), pa.array(members, pa.binary())], ["doc_id", "members"]))
+        members = pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(value.view(np.int64))).cast(pa.list_(pa.int64()))
+        out.append(pa.RecordBatch.from_arrays([batch.column("doc_id").slice(run.first, len(members)), members], ["doc_id", "members"]))
     return out
 
 
 def _confirm(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     keep = []
     for x, y in zip(batch.column("members_a"), batch.column("members_b"), strict=True):
-        x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        x, y = x.values.to_numpy(), y.values.to_numpy()
         both = len(np.intersect1d(x, y, assume_unique=True))
         keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
     return [batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))]
@@ -187,13 +188,15 @@ def _likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     return one.join(heads.withColumnRenamed("doc_id", "b").alias("y"), (F.col("x.b") == F.col("y.b")) & _plausible("x", "y")).select("x.a", "x.b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, hint: str | None = None) -> DataFrame:
-    """Pairs confirmed on full sets. The texts of documents that occur in a pair travel compressed."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    wanted = settle(wanted, "near-wanted")
+def _member_sets(ids: DataFrame, docs: DataFrame, hint: str | None = None) -> DataFrame:
+    """(doc_id, members) of the given ids. Texts travel compressed."""
+    ids = settle(ids, "near-wanted")
     texts = map_batches(docs.select("doc_id", text_or_empty().alias("text")), _pack, PACKED)
-    texts = texts.join(wanted.hint(hint) if hint else wanted, "doc_id", "left_semi")
-    sets = settle(map_batches(texts, _sets, SETS), "near-sets")
+    return settle(map_batches(texts.join(ids.hint(hint) if hint else ids, "doc_id", "left_semi"), _sets, SETS), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs confirmed on full sets."""
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("members").alias(f"members_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return map_batches(joined, _confirm, "a long, b long").distinct()
@@ -235,7 +238,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small = heads.select("doc_id", "n_shingles", *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)))
     likely = settle(_likely(first, small), "near-likely")
     # The ids wanted grow with the documents: a plan that does not count on broadcasting them.
-    links = settle(_confirmed(likely, docs, "merge"), "near-confirmed")
+    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    links = settle(_confirmed(likely, _member_sets(wanted, docs, "merge")), "near-confirmed")
     state = components(links)
     # What is left: members outside the components of both of their bucket's leaders, and leaders' components not yet linked.
     of = lambda x, y: state.select(F.col("doc_id").alias(x), F.col("component_id").alias(y))
@@ -245,17 +249,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = placed.join(buckets.select("bucket", "least", "most").distinct(), "bucket").where("doc_id <> least and doc_id <> most").drop("least", "most")
     placed = settle(placed, "near-placed")
     mixed = placed.where("own <> low or low <> top").select("bucket").distinct()
-    placed = settle(placed.join(mixed, "bucket", "left_semi").join(small, "doc_id"), "near-mixed")
+    placed = settle(placed.join(mixed, "bucket", "left_semi"), "near-mixed")
+    sets = _member_sets(placed.select("doc_id").distinct(), docs)
+    owners = sets.select("doc_id", F.explode("members").alias("member")).groupBy("member").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    alone = owners.where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+    placed = placed.join(small, "doc_id").join(alone, "doc_id", "left").withColumn("common", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+    placed = settle(placed.drop("alone"), "near-measured")
+    common = F.least("x.common", "y.common")
+    enough = 100 * common >= PERCENT * (F.col("x.n_shingles") + F.col("y.n_shingles") - common)
     loose = placed.where("own <> low and own <> top").alias("x")
-    rest = loose.join(placed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") != F.col("y.own")) & _plausible("x", "y"))
+    rest = loose.join(placed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") != F.col("y.own")) & enough & _plausible("x", "y"))
     split = placed.where("low <> top")
     across = split.where("own = low").alias("x").join(
-        split.where("own = top").alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & _plausible("x", "y"))
+        split.where("own = top").alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & enough & _plausible("x", "y"))
     more = rest.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y")).union(
         across.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y"))).select(*ordered).distinct()
     more = settle(more, "near-likely")
     if more.take(1):
-        state = components(links.union(settle(_confirmed(more, docs), "near-confirmed")))
+        state = components(links.union(settle(_confirmed(more, sets), "near-confirmed")))
     member = filled.select("doc_id", "low", "high", "n_shingles").join(classes, ["low", "high", "n_shingles"]).select("doc_id", "head").distinct()
     member = member.join(of("head", "component"), "head", "left").select("doc_id", F.coalesce("component", "head").alias("component"))
     # An id that occurs with several texts belongs to the smallest of their components.
