@@ -184,6 +184,7 @@ def _plausible(x: str, y: str) -> Column:
 
 def _likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) that their sketches let pass."""
+    heads = heads.drop("bands")
     one = pairs.distinct().join(heads.withColumnRenamed("doc_id", "a"), "a").alias("x")
     return one.join(heads.withColumnRenamed("doc_id", "b").alias("y"), (F.col("x.b") == F.col("y.b")) & _plausible("x", "y")).select("x.a", "x.b")
 
@@ -235,7 +236,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = settle(shared.drop("n").join(central, "bucket"), "near-buckets")
     ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
     first = buckets.select("doc_id", F.explode(F.array("least", "most")).alias("y")).where("doc_id <> y").withColumnRenamed("doc_id", "x").select(*ordered)
-    small = heads.select("doc_id", "n_shingles", *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)))
+    small = heads.select("doc_id", "n_shingles", "bands", *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)))
     likely = settle(_likely(first, small), "near-likely")
     # The ids wanted grow with the documents: a plan that does not count on broadcasting them.
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
@@ -256,12 +257,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = placed.join(small, "doc_id").join(alone, "doc_id", "left").withColumn("common", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
     placed = settle(placed.drop("alone"), "near-measured")
     common = F.least("x.common", "y.common")
+    # A pair comes out of the first bucket it shares, not of every one. Where it met a leader there, it is compared already.
+    once = F.get(F.array_intersect("x.bands", "y.bands"), 0) == F.col("x.bucket")
     enough = 100 * common >= PERCENT * (F.col("x.n_shingles") + F.col("y.n_shingles") - common)
     loose = placed.where("own <> low and own <> top").alias("x")
-    rest = loose.join(placed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") != F.col("y.own")) & enough & _plausible("x", "y"))
+    rest = loose.join(placed.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.own") != F.col("y.own")) & enough & _plausible("x", "y") & once)
     split = placed.where("low <> top")
     across = split.where("own = low").alias("x").join(
-        split.where("own = top").alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & enough & _plausible("x", "y"))
+        split.where("own = top").alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & enough & _plausible("x", "y") & once)
     more = rest.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y")).union(
         across.select(F.col("x.doc_id").alias("x"), F.col("y.doc_id").alias("y"))).select(*ordered).distinct()
     more = settle(more, "near-likely")
