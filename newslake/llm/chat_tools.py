@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslake.functions.once import computed_once
 from newslake.operators.position import numbered
 from newslake.session import settle
 
@@ -45,14 +46,13 @@ def _is(kind: Column, wanted: str) -> Column:
 
 
 def faults(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
-    """Sorted array of what is wrong with columns ``tool`` and ``parsed`` (arguments as a variant)."""
-    found = [F.when(F.col("tool").isNull() | ~F.col("tool").isin(*schemas), "unknown tool"),
-             F.when(F.col("parsed").isNull(), "malformed arguments").when(~F.schema_of_variant("parsed").startswith("OBJECT"), "malformed arguments")]
-    is_object = F.coalesce(F.schema_of_variant("parsed").startswith("OBJECT"), F.lit(False))
+    """Sorted array of what is wrong with ``tool`` and the ``fields`` and ``kinds`` of its arguments."""
+    is_object = F.col("kinds").isNotNull()
+    found = [F.when(F.col("tool").isNull() | ~F.col("tool").isin(*schemas), "unknown tool"), F.when(~is_object, "malformed arguments")]
     for tool, fields in schemas.items():
         here = (F.col("tool") == tool) & is_object
         for field, (kind, required) in fields.items():
-            actual = F.schema_of_variant(F.try_variant_get("parsed", f"$.{field}", "variant"))
+            actual = F.col("kinds")[field]
             if required:
                 found.append(F.when(here & ~F.array_contains(F.col("fields"), field), f"missing {field}"))
             found.append(F.when(here & F.array_contains(F.col("fields"), field) & ~F.coalesce(_is(actual, kind), F.lit(False)), f"{field} is not {kind}"))
@@ -61,6 +61,13 @@ def faults(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     return F.array_sort(F.array_compact(F.array(*found)))
 
 
+def _kinds(schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
+    """JSON type of each field that a schema names; null unless the arguments are an object."""
+    names = sorted({field for fields in schemas.values() for field in fields})
+    found = F.create_map(*(x for n in names for x in (F.lit(n), F.schema_of_variant(F.try_variant_get("parsed", f"$.{n}", "variant")))))
+    return F.when(F.schema_of_variant("parsed").startswith("OBJECT"), found)
+
+
 def _levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of the first calls; level null for those in or behind a cycle."""
     edges = calls.select("conv_id", "call_id", F.explode("refers").alias("on")).distinct()
@@ -105,11 +112,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     known = heads.groupBy("conv_id", "call_id").agg(F.lit(True).alias("known"))
     unknown = heads.select("conv_id", F.col("call_id").alias("caller"), F.explode("refers").alias("call_id")).join(
         known, ["conv_id", "call_id"], "left_anti").groupBy("conv_id", F.col("caller").alias("call_id")).agg(F.array_sort(F.collect_set("call_id")).alias("dangling"))
+    unknown = settle(unknown, "dangling-references")
     rows = owned.join(answers, ["conv_id", "call_id"], "left").join(levels, ["conv_id", "call_id"], "left").join(unknown, ["conv_id", "call_id"], "left")
     status = (F.when(F.col("conv_id").isNull() | F.col("call_id").isNull(), "unlinked").when(~F.col("owner"), "duplicate")
               .when(F.col("result").isNull(), "no result").otherwise("linked"))
-    rows = rows.withColumns({"parsed": F.try_parse_json("arguments"), "status": status})
-    rows = rows.withColumn("fields", F.coalesce(F.json_object_keys("arguments"), F.array().cast("array<string>")))
+    rows = computed_once(rows.withColumns({"parsed": F.try_parse_json("arguments"), "status": status}), "kinds", _kinds(schemas))
+    rows = computed_once(rows, "fields", F.coalesce(F.json_object_keys("arguments"), F.array().cast("array<string>")))
     wrong = F.concat(faults(schemas), F.transform(F.coalesce("dangling", F.array().cast("array<string>")), lambda x: F.concat(F.lit("unknown reference "), x)))
     linked = F.col("status") == "linked"
     canonical = F.concat(
