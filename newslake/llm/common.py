@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 SMALLEST = -(2**63)
 BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 2000  # whole texts: an Arrow batch must stay small beside an executor's memory
+BATCH_ROWS = 1000  # whole texts: an Arrow batch must stay small beside an executor's memory
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

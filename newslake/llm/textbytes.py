@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 19
 M1 = np.uint64(0x9E3779B97F4A7C15)
 M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 BYTE_CODES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
