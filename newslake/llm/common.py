@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_memory() -> None:
+    """Give freed memory back to the system: a worker waits for its next task beside an executor that needs it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch]], schema: str) -> DataFrame:
     """Map each Arrow batch on its own. The session's batches are made no larger than ``BATCH_ROWS`` rows."""
     conf = df.sparkSession.conf
@@ -35,6 +44,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from f(batch)
+        free_memory()
 
     return df.mapInArrow(each, schema)
 

@@ -62,6 +62,12 @@ def _window_text(start: Column, size: Column) -> Column:
     return F.array_join(F.slice(F.col("w"), start + 1, size), " ")
 
 
+def _short_starts(size: int) -> Column:
+    """Where the grams of one short length are among the fingerprints found."""
+    w = F.col("w")
+    return F.filter(_positions(F.size(w) - (size - 1)), lambda s: F.array_contains(F.col("found"), F.xxhash64(*(F.get(w, s + k) for k in range(size)))))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
     """(item_id, size, window): every window of every item as its words joined by spaces, and its item's size."""
     df = computed_once(items.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), "text"), "w", _words())
@@ -100,9 +106,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         lambda p: F.when(last >= 0, F.sequence(F.greatest(p - (SPAN - 1), F.lit(0)), F.least(p, last))).otherwise(F.array().cast("array<int>"))))
     size_of = lambda at, n: F.transform(at, lambda s: F.struct(s.alias("start"), F.lit(n).alias("size")))
     spans = [size_of(F.array_distinct(starts), WINDOW)]
-    for n in lengths:
-        spans.append(size_of(F.filter(_positions(F.size("w") - (n - 1)), lambda s, n=n: F.array_contains(
-            F.col("found"), F.xxhash64(*(F.get(F.col("w"), s + k) for k in range(n))))), n))
+    spans += [size_of(_short_starts(n), n) for n in lengths]
     placed = hit.select("doc_id", "version", "w", F.explode(F.concat(*spans)).alias("span"))
     placed = placed.select("doc_id", "version", "span", _window_text(F.col("span.start"), F.col("span.size")).alias("window"))
     met = placed.join(windows.select("window", "item_id"), "window").groupBy("doc_id", "version").agg(

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import SMALLEST, map_batches, pack_texts, text_or_empty, unpack_texts
+from newslake.llm.common import SMALLEST, free_memory, map_batches, pack_texts, text_or_empty, unpack_texts
 from newslake.llm.suffix_sort import sort_suffixes
 from newslake.llm.textbytes import M1, mix, runs, sliding_min, window_hashes
 from newslake.session import settle
@@ -43,7 +43,7 @@ N = 100  # length of a repeated string, in bytes
 K = 32  # length of the grams that anchor a string
 MOST_STARTS = 128  # starts in one block
 MOST_BLOCKS = 2048  # different blocks of one minimum that are sorted together; beyond it, by string
-SORT_STARTS = 1 << 20  # suffixes sorted at once
+SORT_STARTS = 1 << 18  # suffixes sorted at once
 VERSION = 0xFFFFFF
 _RANKS = np.multiply.accumulate(np.full(MOST_STARTS, 0xD6E8FEB86659FD93, np.uint64))
 
@@ -170,6 +170,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(c):
             yield _rows(pa.array(h[c]), doc[c], pack[c])
         now = tuple(int(x[head[-1]]) for x in (h, b, doc, pack))
+    free_memory()
 
 
 PACKED = "doc_id long, doc long, version int, n_bytes long, packed binary"
@@ -210,7 +211,7 @@ def _spread_starts(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     out = []
     doc_ids, versions = batch.column("doc").to_numpy(), batch.column("version").to_numpy()
     lists = batch.column("blocks")
-    for first, last in _pieces(batch, 1 << 22):
+    for first, last in _pieces(batch, 1 << 20):
         texts = _texts(batch, first, last)
         keys, bodies, docs, starts, marks = [], [], [], [], []
         base = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
@@ -298,6 +299,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = [whole.slice(cut)], 0
     if held:
         yield from _sorted_blocks(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+    free_memory()
 
 
 def _first_goes_not(batch: pa.RecordBatch, now):
@@ -372,7 +374,7 @@ def _remove(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     out = []
     carried = [c for c in batch.schema.names if c.startswith("_")]
     lists, ids = batch.column("ranges"), batch.column("doc_id")
-    for first, last in _pieces(batch, 1 << 22):
+    for first, last in _pieces(batch, 1 << 20):
         texts = _texts(batch, first, last)
         removed, spans, digests, kept = [], [], [], []
         for i, text in enumerate(texts):
