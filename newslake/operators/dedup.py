@@ -44,7 +44,8 @@ def _with_salt(articles: DataFrame) -> DataFrame:
     """Join salt: 0 with a URL; spread over many values without one, so that the
     articles without a URL do not all go to one task."""
     absent = or_none(F.col("url")).isNull()
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1
+    # From the row itself: a task that is run again must send it to the same place.
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c, kind in articles.dtypes if not kind.startswith("map")]), F.lit(SALTS)) + 1
     return articles.withColumn("_salt", F.when(absent, spread).otherwise(F.lit(0).cast("long")))
 
 
@@ -56,7 +57,7 @@ def not_stored(articles: DataFrame, stored: DataFrame) -> DataFrame:
 
 def already_stored(articles: DataFrame, stored: DataFrame) -> DataFrame:
     """Articles whose URL is stored, which an ingest skips."""
-    return articles.join(stored_urls(stored), "url", "left_semi")
+    return articles.where(or_none(F.col("url")).isNotNull()).join(stored_urls(stored), "url", "left_semi")
 
 
 def not_stored_batch(batch: DataFrame, stored: DataFrame) -> DataFrame:

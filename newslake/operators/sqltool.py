@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.operators.publish import as_json
-from newslake.session import settle, use_utc
+from newslake.session import use_utc
 from newslake.sources.lake import trades_view
 
 # --- fixed values -----------------------------------------------------------
@@ -24,7 +24,6 @@ _LITERAL = r"(?s)'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\"|--[^\n]*+|/\*.*?\*/"
 _STARTS = r"(?is)^\s*(SELECT|WITH)\b"
 _WRITES = r"(?i)\b(" + "|".join(WRITE_WORDS + MORE_WORDS) + r")\b"
 _FILE_RELATION = r"(?i)(?<![\w.])`?(" + "|".join(FORMATS) + r")`?\s*\.\s*`"
-MAX_TEXT_ROWS = 10_000
 
 
 def read_only(sql: Column) -> Column:
@@ -76,18 +75,14 @@ def query_trades(spark: SparkSession, sql: str, silver_root: str) -> DataFrame:
 def query_trades_text(spark: SparkSession, sql: str, silver_root: str) -> str:
     """The answer as one JSON array, or an error text; never raises.
 
-    The result is settled before anything reaches the driver. A result that is too
-    large for one text is left in the shared folder, whole, and the text says where.
+    Rows come in the order of the statement, a partition at a time, and none is left
+    out: the text is as long as the answer. ``query_trades`` keeps an answer distributed.
     """
     try:
         records = query_trades(spark, sql, silver_root)
-        kept = settle(records, "answer")
-        n_rows = kept.count()
-        if n_rows > MAX_TEXT_ROWS:
-            return f"Error: {n_rows} rows do not fit one answer; they are in {kept.inputFiles()[0]}"
-        lines = [r["record"] for r in kept.collect()]
+        lines = [r["record"] for r in records.toLocalIterator()]
     except Exception as error:
         return f"Error: {error}"
-    if n_rows == 1 and lines[0].startswith("Error: "):
+    if len(lines) == 1 and lines[0].startswith("Error: "):
         return lines[0]
     return "[" + ",".join(lines) + "]"

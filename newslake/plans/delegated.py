@@ -51,22 +51,25 @@ FROM silver GROUP BY ALL
 
 
 def d_side_imbalance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = F.sum(F.when(F.col("side") == "BUY", F.col("quantity")).otherwise(0.0))
-    sold = F.sum(F.when(F.col("side") == "SELL", F.col("quantity")).otherwise(0.0))
+    """Sums in whole millionths, so that a tie in rounding does not hang on the order of addition."""
+    units = F.round(F.col("quantity") * 1_000_000).cast("long")
+    zero = F.lit(0).cast("long")
+    bought = F.sum(F.when(F.col("side") == "BUY", units).otherwise(zero))
+    sold = F.sum(F.when(F.col("side") == "SELL", units).otherwise(zero))
     return _trades(spark, sf_dir).groupBy(_hour()).agg(
-        F.round(bought, 6).alias("bought"),
-        F.round(sold, 6).alias("sold"),
-        F.round((bought - sold) / F.nullif(bought + sold, F.lit(0.0)), 6).alias("imbalance"),
+        (bought / 1_000_000).alias("bought"),
+        (sold / 1_000_000).alias("sold"),
+        F.round((bought - sold) / F.nullif(bought + sold, zero), 6).alias("imbalance"),
     )
 
 
 IMBALANCE_SQL = si.with_ctes(
     """
-SELECT hour_start, round(b, 6) AS bought, round(s, 6) AS sold,
+SELECT hour_start, b / 1000000 AS bought, s / 1000000 AS sold,
        round((b - s) / nullif(b + s, 0), 6) AS imbalance
 FROM (SELECT date_trunc('hour', trade_time) AS hour_start,
-             sum(CASE WHEN side = 'BUY' THEN quantity ELSE 0 END) AS b,
-             sum(CASE WHEN side = 'SELL' THEN quantity ELSE 0 END) AS s
+             sum(CASE WHEN side = 'BUY' THEN round(quantity * 1000000)::BIGINT ELSE 0 END)::BIGINT AS b,
+             sum(CASE WHEN side = 'SELL' THEN round(quantity * 1000000)::BIGINT ELSE 0 END)::BIGINT AS s
       FROM silver GROUP BY 1)
 """,
     *_EVENTS,

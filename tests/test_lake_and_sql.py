@@ -147,6 +147,12 @@ def test_sql_answers(spark, silver_root):
     assert sqltool.query_trades_text(spark, "SELECT * FROM trades WHERE price < 0", silver_root) == "[]"
 
 
+def test_sql_answers_are_whole_and_in_order(spark, silver_root):
+    sql = "SELECT id FROM (SELECT explode(sequence(1, 10001)) AS id) CROSS JOIN (SELECT 1 FROM trades LIMIT 1) ORDER BY id DESC"
+    answer = json.loads(sqltool.query_trades_text(spark, sql, silver_root))
+    assert [r["id"] for r in answer] == list(range(10001, 0, -1))
+
+
 def test_recent_reads_the_last_hours_only(spark, silver_root):
     recent = trades.recent(lake.scan(spark, silver_root, SILVER_TRADE))
     assert recent.count() == 4
