@@ -129,11 +129,11 @@ WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(t
                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
-bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS window
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS gram
        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)),
-dw AS (SELECT doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS window
+dw AS (SELECT doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS gram
        FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, (SELECT DISTINCT size FROM bw))),
-hits AS (SELECT doc_id, s, size, item_id FROM dw JOIN bw USING (window, size)),
+hits AS (SELECT doc_id, s, size, item_id FROM dw JOIN bw USING (gram, size)),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY doc_id),
 met AS (SELECT doc_id, list_sort(list_distinct(list(item_id::VARCHAR))) AS items FROM hits GROUP BY doc_id)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
