@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslake.functions.once import computed_once
 from newslake.operators.position import numbered
-from newslake.session import settle
+from newslake.session import scratch_path, settle
 
 # Tool -> field -> (type, required). Types: string, integer, number, boolean, array, object.
 SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {
@@ -72,20 +73,27 @@ def _levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of the first calls; level null for those in or behind a cycle."""
     edges = calls.select("conv_id", "call_id", F.explode("refers").alias("on")).distinct()
     known = calls.select("conv_id", F.col("call_id").alias("on"))
-    edges = settle(edges.join(known, ["conv_id", "on"]), "call-edges")
-    free = calls.select("conv_id", "call_id").join(edges.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
-    done = settle(free.withColumn("level", F.lit(0)), "call-levels")
+    waiting = settle(edges.join(known, ["conv_id", "on"]), "call-edges")
+    ids = ["conv_id", "call_id"]
+    spark, folder = calls.sparkSession, scratch_path(calls.sparkSession, "call-levels")
+    schema = calls.select(*ids).schema
+
+    def write(found: DataFrame, level: int) -> DataFrame:
+        path = f"{folder}/level={level}"
+        found.write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    fresh = write(calls.select(*ids).join(waiting.select(*ids), ids, "left_anti"), 0)
     level = 0
-    while True:
+    while fresh.take(1):
+        # Each round reads the references still waiting and the level just found, however many rounds came before.
         level += 1
-        fresh = done.where(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("on"))
-        touched = edges.join(fresh, ["conv_id", "on"], "left_semi").select("conv_id", "call_id").distinct()
-        open_edges = edges.join(touched, ["conv_id", "call_id"], "left_semi").join(done.select("conv_id", F.col("call_id").alias("on")), ["conv_id", "on"], "left_anti")
-        ready = touched.join(open_edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level))
-        ready = settle(ready, "call-levels")
-        if not ready.take(1):
-            return calls.select("conv_id", "call_id").join(done, ["conv_id", "call_id"], "left")
-        done = done.unionByName(ready)
+        met = fresh.withColumnRenamed("call_id", "on")
+        touched = waiting.join(met, ["conv_id", "on"], "left_semi").select(*ids).distinct()
+        waiting = settle(waiting.join(met, ["conv_id", "on"], "left_anti"), "call-edges")
+        fresh = write(touched.join(waiting.select(*ids), ids, "left_anti"), level)
+    done = spark.read.schema(T.StructType([*schema.fields, T.StructField("level", T.IntegerType())])).parquet(folder)
+    return calls.select(*ids).join(done, ids, "left")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]] | None = None) -> DataFrame:
