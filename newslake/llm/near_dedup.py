@@ -6,7 +6,10 @@ rarely meet, and a pair at the threshold misses all buckets with probability
 ``(1 - 0.8 ** ROWS) ** BANDS`` (about 3 in a million), a closer pair far more rarely. The same minima are folded into an odd
 sketch: each one flips a bit, so the population count of the XOR of two sketches tells how many
 minima differ. Pairs whose estimate lies more than six standard errors below the threshold are
-dropped; all others are confirmed on the full sets.
+dropped; all others are confirmed on the full sets. A second sketch of the same width holds the parity of the whole
+set. Each shingle that only one of two sets has flips one bit, so the XOR's population count never exceeds the
+symmetric difference, and a pair with more bits than a link allows is ruled out for certain. (Sets of several thousand shingles
+fill the map; for them the samples decide.)
 
 * Documents with equal sets are one class, with the smallest id as its representative; only
   representatives meet in buckets, so copies cost nothing further.
@@ -96,6 +99,15 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
     return np.packbits((flat & 1).astype(np.uint8).reshape(-1, SKETCH_BITS), axis=1)
 
 
+def set_sketches(value: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Bit maps of ``SKETCH_BITS`` bits, one per document that has a shingle: the parity of its whole set on each bit."""
+    size = np.diff(begins)
+    owner = np.repeat(np.arange(np.count_nonzero(size)), size[size > 0])
+    flat = np.zeros((np.count_nonzero(size), SKETCH_BITS), np.uint8)
+    np.bitwise_xor.at(flat, (owner, (mix(value, value ^ M1) % np.uint64(SKETCH_BITS)).astype(np.int64)), np.uint8(1))
+    return np.packbits(flat, axis=1)
+
+
 def estimate(differing_bits: np.ndarray) -> np.ndarray:
     """Jaccard similarity from the population count of two sketches' XOR."""
     full = np.minimum(2 * differing_bits / SKETCH_BITS, 1 - 1e-9)
@@ -111,7 +123,7 @@ def _least_plausible() -> float:
     return float(j - 6 * np.hypot(np.sqrt(j * (1 - j) / SAMPLES), sketch))
 
 
-FEATURES = "doc_id long, n_shingles long, low long, high long, bands array<long>, sketch array<long>"
+FEATURES = "doc_id long, n_shingles long, low long, high long, bands array<long>, sketch array<long>, whole array<long>"
 
 
 def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
@@ -122,7 +134,7 @@ def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         some = size > 0
         heads = begins[:-1][some]
         low, high = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
-        bands, sketch = [None] * len(size), [None] * len(size)
+        bands, sketch, whole = [None] * len(size), [None] * len(size), [None] * len(size)
         if some.any():
             low[some] = np.add.reduceat(mix(value, value), heads)
             high[some] = np.add.reduceat(mix(value * M1, ~value), heads)
@@ -133,12 +145,13 @@ def _features(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
                 for row in range(ROWS):
                     key = mix(key, minima[:, band * ROWS + row])
                 keys[:, band] = key
-            for i, k, s in zip(np.flatnonzero(some), keys.view(np.int64), odd_sketches(minima), strict=True):
-                bands[i], sketch[i] = k, s.view(np.int64)
+            for i, k, s, w in zip(np.flatnonzero(some), keys.view(np.int64), odd_sketches(minima), set_sketches(value, begins), strict=True):
+                bands[i], sketch[i], whole[i] = k, s.view(np.int64), w.view(np.int64)
         out.append(pa.RecordBatch.from_arrays(
             [batch.column("doc_id").slice(run.first, len(size)), pa.array(size, pa.int64()), pa.array(low.view(np.int64)),
-             pa.array(high.view(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "low", "high", "bands", "sketch"]))
+             pa.array(high.view(np.int64)), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())),
+             pa.array(whole, pa.list_(pa.int64()))],
+            ["doc_id", "n_shingles", "low", "high", "bands", "sketch", "whole"]))
     return out
 
 
@@ -175,11 +188,16 @@ WORDS = SKETCH_BITS // 64
 MOST_BITS = int(np.flatnonzero(estimate(np.arange(SKETCH_BITS // 2)) >= LEAST).max())
 
 
+def _differing(x: str, y: str, prefix: str) -> Column:
+    return sum((F.bit_count(F.col(f"{x}.{prefix}{i}").bitwiseXOR(F.col(f"{y}.{prefix}{i}"))) for i in range(WORDS)), F.lit(0))
+
+
 def _plausible(x: str, y: str) -> Column:
     """The sizes and the sketches of two sides do not rule the threshold out."""
-    bits = sum((F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))) for i in range(WORDS)), F.lit(0))
     size = [F.col(f"{side}.n_shingles") for side in (x, y)]
-    return (bits <= MOST_BITS) & (100 * F.least(*size) >= PERCENT * F.greatest(*size))
+    # Linked sets of n and m shingles differ in d of them with PERCENT * (n + m + d) <= 100 * (n + m - d).
+    may_differ = (100 + PERCENT) * _differing(x, y, "w") <= (100 - PERCENT) * (size[0] + size[1])
+    return (100 * F.least(*size) >= PERCENT * F.greatest(*size)) & may_differ & (_differing(x, y, "s") <= MOST_BITS)
 
 
 def _likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
@@ -236,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = settle(shared.drop("n").join(central, "bucket"), "near-buckets")
     ordered = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
     first = buckets.select("doc_id", F.explode(F.array("least", "most")).alias("y")).where("doc_id <> y").withColumnRenamed("doc_id", "x").select(*ordered)
-    small = heads.select("doc_id", "n_shingles", "bands", *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)))
+    small = heads.select("doc_id", "n_shingles", "bands", *(F.col(c)[i].alias(f"{c[0]}{i}") for c in ("sketch", "whole") for i in range(WORDS)))
     likely = settle(_likely(first, small), "near-likely")
     # The ids wanted grow with the documents: a plan that does not count on broadcasting them.
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()

@@ -87,3 +87,13 @@ def test_odd_sketch_estimates(similarity):
     bits = np.bitwise_count(sketches[0] ^ sketches[1]).sum(axis=1)
     assert abs(near_dedup.estimate(bits)[0] - similarity) < 0.12
     assert near_dedup.LEAST < 0.65
+
+
+def test_set_sketches_never_exceed_the_symmetric_difference():
+    rng = np.random.default_rng(5)
+    for size in (1, 40, 900, 6000):
+        x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: size * 4 // 5], rng.integers(0, 2**64, size // 5 + 1, dtype=np.uint64)]))
+        both = near_dedup.set_sketches(np.concatenate([x, y]), np.array([0, len(x), len(x), len(x) + len(y)]))
+        assert both.shape == (2, near_dedup.SKETCH_BITS // 8)
+        assert np.unpackbits(both[0] ^ both[1]).sum() <= len(np.setxor1d(x, y))
