@@ -8,9 +8,21 @@ from pyspark.sql import functions as F
 from newslake.schemas import PARTITIONS
 
 
+# Feed dates (RFC 822): an optional day name, day, month, year, time, and a numeric zone or a name of UTC.
+_FEED_DATE = r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})(:\d{2})? ([+-]\d{4}|GMT|UTC|UT|Z)\s*$"
+
+
+def _feed_time(text: Column) -> Column:
+    part = lambda n: F.regexp_extract(text, _FEED_DATE, n)
+    second = F.when(part(5) == "", ":00").otherwise(part(5))
+    zone = F.when(part(6).rlike(r"^[+-]"), part(6)).otherwise("+0000")
+    plain = F.concat(part(1), F.lit(" "), F.initcap(part(2)), F.lit(" "), part(3), F.lit(" "), part(4), second, F.lit(" "), zone)
+    return F.when(text.rlike(_FEED_DATE), F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss xx")))
+
+
 def parse_time(text: Column) -> Column:
-    """ISO text to timestamp; null when it cannot be read."""
-    return F.try_to_timestamp(text)
+    """ISO text or a feed date to timestamp; null when it cannot be read."""
+    return F.coalesce(F.try_to_timestamp(text), _feed_time(text))
 
 
 def now_or(anchor: Column | None) -> Column:

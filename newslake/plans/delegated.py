@@ -238,13 +238,14 @@ FROM customer GROUP BY ALL
 
 
 def d_gap_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades above 200 per calendar hour; hours without any count 0. The calendar
-    is a range over the hours between the first and the last trade."""
+    """Trades per calendar hour; hours without any count 0. The calendar is a range
+    over the hours between the first and the last trade; no trades, no hours."""
     t = _trades(spark, sf_dir)
     hour = F.floor(F.unix_seconds("trade_time") / 3600)
     span = t.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi")).first()
-    calendar = spark.range(span["lo"] or 0, (span["hi"] or 0) + 1).withColumnRenamed("id", "h")
-    counts = t.where("price > 200").groupBy(hour.alias("h")).agg(F.count("*").alias("n"))
+    bounds = (0, 0) if span["lo"] is None else (span["lo"], span["hi"] + 1)
+    calendar = spark.range(*bounds).withColumnRenamed("id", "h")
+    counts = t.groupBy(hour.alias("h")).agg(F.count("*").alias("n"))
     at = F.timestamp_seconds(F.col("h") * 3600).cast("timestamp_ntz")
     return calendar.join(counts, "h", "left").select(
         at.alias("hour_start"), F.coalesce("n", F.lit(0)).cast("long").alias("n_trades")
@@ -257,7 +258,7 @@ SELECT hour_start, count(trade_id) AS n_trades
 FROM (SELECT unnest(generate_series((SELECT date_trunc('hour', min(trade_time)) FROM silver),
                                     (SELECT date_trunc('hour', max(trade_time)) FROM silver),
                                     INTERVAL 1 HOUR)) AS hour_start)
-LEFT JOIN silver ON date_trunc('hour', trade_time) = hour_start AND price > 200
+LEFT JOIN silver ON date_trunc('hour', trade_time) = hour_start
 GROUP BY 1
 """,
     *_EVENTS,

@@ -32,18 +32,20 @@ def write_hours(df: DataFrame, root: str, batch_id: int | None = None) -> None:
     every hour is a file of its own, and would only write them one after another.
 
     Without a batch number the rows are appended. A micro-batch has a folder of its
-    own above the hours, which is replaced as a whole when the batch is replayed:
-    no row is doubled and nothing has to be renamed file by file.
+    own below each hour it has rows for, so a slice finds its rows whoever wrote them,
+    and a replayed batch replaces its own folders: no row is doubled.
     """
-    mode, target = ("append", root) if batch_id is None else ("overwrite", batch_path(root, batch_id))
     rows = padded_parts(df).hint("rebalance", *PARTITIONS)
     with setting(df.sparkSession, SMALLEST_TASK, "64k"):
-        rows.write.mode(mode).partitionBy(*PARTITIONS).parquet(target)
+        if batch_id is None:
+            rows.write.mode("append").partitionBy(*PARTITIONS).parquet(root)
+        else:
+            writer = rows.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*PARTITIONS, BATCH).parquet(root)
 
 
 def batch_path(root: str, batch_id: int) -> str:
-    """Folder of one micro-batch. Spark reads it as a partition column, so a scan
-    of the root prunes on the hour as in a lake without batches."""
+    """Folder of one micro-batch in a table without hours."""
     return f"{root}/{BATCH}={batch_id}"
 
 

@@ -154,3 +154,18 @@ def test_page_metadata(spark):
     assert value(spark, html.language(F.lit(page))) == "ko"
     assert value(spark, html.host(F.lit("https://user@news.example:8080/a?b"))) == "news.example"
     assert value(spark, html.host(F.lit("not a url"))) is None
+
+
+@pytest.mark.parametrize(
+    "given, wanted",
+    [
+        ("Tue, 27 Jan 2026 15:10:00 +0000", "2026-01-27T15:10:00.000000+00:00"),
+        ("Tue, 27 Jan 2026 15:10:00 +0900", "2026-01-27T06:10:00.000000+00:00"),
+        ("7 feb 2026 15:10 GMT", "2026-02-07T15:10:00.000000+00:00"),
+        ("Tue, 99 Jan 2026 15:10:00 GMT", "Tue, 99 Jan 2026 15:10:00 GMT"),
+        ("2026-01-27T15:10:00Z", "2026-01-27T15:10:00.000000+00:00"),
+        ("soon", "soon"),
+    ],
+)
+def test_feed_dates(spark, given, wanted):
+    assert value(spark, times.iso_or_raw(F.col("t")), t=given) == wanted

@@ -179,3 +179,26 @@ def test_sessions_are_isolated(spark, silver_root):
     session = sqltool.isolated_session(spark)
     with pytest.raises(Exception):
         session.sql(f"SELECT * FROM parquet.`{silver_root}`")
+
+
+def test_micro_batches_are_sliced_and_replayed(spark):
+    from newslake.session import scratch_path
+
+    root = scratch_path(spark, "test-batches")
+
+    def batch(number, *rows):
+        raw = spark.createDataFrame([(t, link, "body", "coinness", 4) for t, link in rows],
+                                    "published_at string, link string, content string, source string, content_length int")
+        lake.write_hours(news.refine(raw, anchor=F.lit("2026-02-02 03:04:05").cast("timestamp")), root, number)
+
+    batch(0, ("2026-01-27T15:00:00Z", "a"), ("Tue, 27 Jan 2026 00:10:00 +0000", "midnight"))
+    batch(1, ("2026-01-27T15:30:00Z", "b"))
+    batch(0, ("2026-01-27T15:00:00Z", "a"), ("Tue, 27 Jan 2026 00:10:00 +0000", "midnight"))
+
+    def links(hour):
+        return sorted(r.link for r in lake.scan_slice(spark, root, year=2026, month=1, day=27, hour=hour).collect())
+
+    assert links(15) == ["a", "b"] and links(0) == ["midnight"] and links(1) == []
+    assert lake.scan(spark, root, REFINED_ARTICLE).count() == 3
+    assert lake.slice_exists(spark, root, 2026, 1, 27, 0) and not lake.slice_exists(spark, root, 2026, 1, 27, 1)
+    assert os.path.isdir(f"{root}/year=2026/month=01/day=27/hour=15/batch=1")
