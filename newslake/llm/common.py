@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SMALLEST = -(2**63)
 BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -35,7 +36,7 @@ def free_memory() -> None:
         trim(0)
 
 
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], list[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """Map each Arrow batch on its own. The session's batches are made no larger than ``BATCH_ROWS`` rows."""
     conf = df.sparkSession.conf
     if int(conf.get(BATCH_KEY, "10000")) > BATCH_ROWS:

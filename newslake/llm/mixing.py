@@ -8,7 +8,7 @@ document is taken with its cell's probability, decided by a hash of its id, so t
 token mix of the sample follows the targets and a rerun takes the same documents.
 
 Only the table of cells is iterated, as a table in the shared folder; each round returns one number
-to the driver. Documents are read once to sum and once to sample.
+to the driver. Texts are read once for topic and tokens; ``sampled`` reads them once more.
 
 Null sources and languages are labels of their own (empty text). The topic is read off the text: ``TOPICS``.
 A target absent from the data is left out and the others are scaled to one; a label without a target keeps its
@@ -20,12 +20,14 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.functions.once import computed_once
-from newslake.llm.common import text_or_empty
-from newslake.session import settle
+from newslake.llm.common import map_batches
+from newslake.llm.textbytes import SPACE, Run, runs
+from newslake.session import estimated_bytes, settle
 
 DIMENSIONS = ("source", "lang", "topic")
 # Without explicit targets a label's share is its token share to this power, scaled to one.
@@ -33,22 +35,56 @@ TEMPERATURE = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 BUDGET = 0.5  # of all tokens
 SEED = 20240607
 ROUNDS, CLOSE = 40, 1e-6
+# A text's topic is the first whose characters make more than its limit of the text.
 TOPICS = ("symbols", "figures", "listing", "prose")
+LIMITS = (0.05, 0.1, 0.02)
+KIND = np.full(256, len(LIMITS), np.uint8)
+for _k, _chars in enumerate((b"#*$%&|<>{}[]=_", b"0123456789", b"\n")):
+    KIND[list(_chars)] = _k
+CELL_BYTES = 1 << 24  # of Parquet files
 
 
-def topic() -> Column:
-    """What a text consists of: many symbols, many digits, many short lines, or none of these."""
-    n = F.length("text")
-    share = lambda chars: (n - F.length(F.translate("text", chars, ""))) / n
-    return (F.when(n == 0, "prose").when(share("#*$%&|<>{}[]=_") > 0.05, "symbols").when(share("0123456789") > 0.1, "figures")
-            .when(share("\n") > 0.02, "listing").otherwise("prose"))
+def described(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns, ``topic`` and ``tokens`` (words) of each row.
+
+    The topic says what a text consists of: many symbols, many digits, many short lines, or none of these.
+    """
+    columns = [c for c in columns if c not in ("topic", "tokens")]
+
+    def each(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        topics, tokens = [], []
+        for run in runs(batch.column("text")):
+            inside = ~SPACE[run.data]
+            begins = inside.copy()
+            begins[1:] &= ~inside[:-1]
+            heads = run.starts[:-1][run.lengths > 0]
+            begins[heads] = inside[heads]
+            tokens.append(_per_text(begins, run))
+            chars = np.maximum(_per_text((run.data & 0xC0) != 0x80, run), 1)
+            kind = KIND[run.data]
+            shares = [_per_text(kind == k, run) / chars > limit for k, limit in enumerate(LIMITS)]
+            topics.append(np.select(shares, TOPICS[:-1], TOPICS[-1]))
+        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+        out = [*(batch.column(c) for c in columns), join(topics, pa.string()), join(tokens, pa.int64())]
+        return [pa.RecordBatch.from_arrays(out, [*columns, "topic", "tokens"])]
+
+    schema = docs.select(columns).schema.add("topic", "string").add("tokens", "long")
+    return map_batches(docs.select(*dict.fromkeys([*columns, "text"])), each, schema)
+
+
+def _per_text(mask: np.ndarray, run: Run) -> np.ndarray:
+    return np.diff(np.searchsorted(np.flatnonzero(mask), run.starts))
 
 
 def labelled(docs: DataFrame) -> DataFrame:
     """doc_id, source, lang, topic and tokens (words) of each row."""
-    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in DIMENSIONS[:2]), text_or_empty().alias("text"))
-    df = computed_once(df, "topic", topic())
-    return df.select("doc_id", *DIMENSIONS, F.regexp_count("text", F.lit(r"\S+")).cast("long").alias("tokens"))
+    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in DIMENSIONS[:2]), "text")
+    return described(df, ["doc_id", *DIMENSIONS[:2]])
+
+
+def _together(cells: DataFrame) -> DataFrame:
+    """Cells in one partition where their files fit into one: grouping and joining them then needs no exchange."""
+    return cells.coalesce(1) if estimated_bytes(cells) <= CELL_BYTES else cells
 
 
 def _targets(cells: DataFrame, dimension: str, given: dict[str, float] | None) -> DataFrame:
@@ -66,7 +102,8 @@ def _targets(cells: DataFrame, dimension: str, given: dict[str, float] | None) -
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Cells with ``weight``: sums over each dimension equal its targets as far as the cells allow."""
-    state = cells.withColumn("weight", F.col("tokens").cast("double"))
+    state = _together(cells).withColumn("weight", F.col("tokens").cast("double"))
+    targets = {d: _together(t) for d, t in targets.items()}
     for _ in range(rounds):
         errors = []
         for d in DIMENSIONS:
@@ -74,7 +111,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             factors = sums.select(d, (F.col("target") / F.col("now")).alias("factor"))
             state = state.join(factors, d).withColumn(f"off_{d}", F.abs(F.col("factor") - 1)).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
             errors.append(f"off_{d}")
-        state = settle(state, "raked-cells")
+        state = _together(settle(state, "raked-cells"))
         worst = state.agg(F.max(F.greatest(*errors))).first()[0] or 0.0
         state = state.drop(*errors)
         if worst < CLOSE:
@@ -106,7 +143,7 @@ def draw() -> Column:
 
 def chances(rows: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
     """(source, lang, topic, probability) of each cell of labelled rows."""
-    cells = settle(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    cells = _together(settle(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells"))
     wanted = {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}
     return settle(probabilities(rake(cells, wanted), budget).drop("tokens", "weight"), "chances")
 
@@ -121,7 +158,7 @@ def _with_chance(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
     """Per row: doc_id, source, lang, topic, tokens, probability and whether it is taken."""
-    rows = labelled(docs)
+    rows = settle(labelled(docs), "labelled")
     found = chances(rows, targets, budget)
     rows = rows.withColumnsRenamed({"source": "_source", "lang": "_lang"})
     return _with_chance(rows, found).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic", "tokens", "probability", "taken")
@@ -130,8 +167,5 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, bud
 def sampled(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
     """The documents taken, with topic, tokens and probability added."""
     found = chances(labelled(docs), targets, budget)
-    rows = docs.withColumns({"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")), "_raw": F.col("text")})
-    rows = rows.withColumn("text", text_or_empty())
-    rows = computed_once(rows, "topic", topic()).withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")).cast("long"))
-    rows = rows.withColumn("text", F.col("_raw")).drop("_raw")
+    rows = described(docs, docs.columns).withColumns({"_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit(""))})
     return _with_chance(rows, found).where("taken").drop("_source", "_lang", "taken")
