@@ -6,9 +6,9 @@ would shuffle many times its size, so the suffixes are found in three exact step
 
 1. *Anchors.* Every N-byte string has a minimal hash among its K-byte grams. Starts in a
    row with the same minimum form a block. Equal strings lie in blocks of the same minimum, so
-   only blocks whose minimum occurs elsewhere matter. Blocks that are equal as a whole are
-   settled by their hash (with the minimum, 128 bits): all but the earliest go.
-2. *Suffixes.* Where blocks of one minimum differ, the starts inside are compared: the texts of the blocks
+   only blocks whose minimum occurs elsewhere, or that hold a string twice themselves, matter. Blocks that
+   are equal as a whole are settled by their hash (with the minimum, 127 bits): all but the earliest go.
+2. *Suffixes.* Where blocks of one minimum differ or one of them holds a string twice, the starts inside are compared: the texts of the blocks
    meet per minimum, their suffixes are ordered by deep-shallow sorting, and equal neighbours
    are repeats. A minimum with very many different blocks (the edge of a passage that a
    third of all documents share) is dealt out by the string instead of the minimum:
@@ -45,6 +45,7 @@ MOST_STARTS = 128  # starts in one block
 MOST_BLOCKS = 2048  # different blocks of one minimum that are sorted together; beyond it, by string
 SORT_STARTS = 1 << 18  # suffixes sorted at once
 VERSION = 0xFFFFFF
+ONE = np.uint64(1)
 _RANKS = np.multiply.accumulate(np.full(MOST_STARTS, 0xD6E8FEB86659FD93, np.uint64))
 
 
@@ -57,7 +58,10 @@ def _unpack(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _blocks(run) -> tuple[np.ndarray, ...]:
-    """Per block of a run: owner, first start (within the run), number of starts, minimum, hash."""
+    """Per block of a run: owner, first start (within the document), number of starts, minimum, hash.
+
+    The hash is odd if the block holds a string twice; equal blocks have equal hashes.
+    """
     data = run.data
     empty = np.zeros(0, np.int64)
     if len(data) < N:
@@ -76,8 +80,30 @@ def _blocks(run) -> tuple[np.ndarray, ...]:
     heads = np.flatnonzero(rank % MOST_STARTS == 0)
     count = np.diff(np.append(heads, len(starts)))
     value = np.add.reduceat(whole[starts] * _RANKS[rank % MOST_STARTS], heads)
+    value = (mix(value, count.astype(np.uint64)) & ~ONE) | _holds_twice(gram[starts] == least, whole[starts], heads, count)
     first = starts[heads]
-    return owner[first], first - run.starts[owner[first]], count, least[heads], mix(value, count.astype(np.uint64))
+    return owner[first], first - run.starts[owner[first]], count, least[heads], value
+
+
+def _holds_twice(at_least: np.ndarray, string: np.ndarray, heads: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """1 for each block with equal strings at two of its starts, else 0.
+
+    Two equal strings hold the minimum at the same offset, so the first one's minimum is passed inside the block: some
+    start other than the block's last begins with it (``at_least``). Only such blocks, few in prose, are sorted.
+    """
+    inner = at_least.copy()
+    inner[heads + count - 1] = False
+    suspects = np.flatnonzero(np.logical_or.reduceat(inner, heads))
+    out = np.zeros(len(heads), np.uint64)
+    if len(suspects):
+        size = count[suspects]
+        block = np.repeat(suspects, size)
+        rows = np.arange(len(block)) + np.repeat(heads[suspects] - (np.cumsum(size) - size), size)
+        found = string[rows]
+        order = np.lexsort((found, block))
+        found, block = found[order], block[order]
+        out[block[1:][(found[1:] == found[:-1]) & (block[1:] == block[:-1])]] = ONE
+    return out
 
 
 def _combine(a, b, doc, pack) -> np.ndarray:
@@ -129,6 +155,7 @@ def _rows(h, doc, pack) -> pa.RecordBatch:
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (h, b, doc, pack) to ranges: h null for starts that go, else a block to compare.
 
+    A class is compared if its minimum has another class, or if its blocks hold a string twice (b is odd).
     Only the first row of the class at hand and the first block of the minimum at hand
     are carried from batch to batch.
     """
@@ -156,7 +183,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # heads[0] is the carried class: whether it is a block to compare was or is decided by ``waiting``.
         more = ~new_h[heads]
         follows = np.append(more[1:], False)
-        chosen = more | follows
+        chosen = more | follows | ((b[heads] & 1) == 1)
         chosen[0] = False
         if waiting and len(heads) > 1 and more[1]:
             yield _rows(pa.array([waiting[0]], pa.int64()), [waiting[1]], [waiting[2]])
@@ -164,7 +191,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elif len(heads) > 1:
             waiting = None
         last = heads[-1]
-        if len(heads) > 1 and new_h[last]:
+        if len(heads) > 1 and not chosen[-1]:
             waiting = (int(h[last]), int(doc[last]), int(pack[last]))
         c = heads[chosen]
         if len(c):

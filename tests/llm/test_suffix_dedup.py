@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newslake.llm import suffix_dedup
@@ -73,6 +74,28 @@ def test_crowded_minima(spark, monkeypatch, most_blocks, starts):
     check(spark, fixture())
 
 
+LINE = "a line of forty bytes, repeated in a row"
+PROSE = "".join(random.Random(9).choice("klmnopq rst") for _ in range(300))
+
+
+@pytest.mark.parametrize("text", ["a" * 150, "a" * 355, "ab" * 70, *(LINE * n for n in (3, 4, 5)), PROSE + LINE * 4 + PROSE[::-1], "é" * 80])
+def test_repeats_inside_one_block(spark, text):
+    """The only text with its minimum: its repeats are its own."""
+    check(spark, [(7, text)])
+    check(spark, [(7, text), (8, PROSE), (9, text), (9, text), (10, "x" + text)])
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_flagged_classes_across_batches(size):
+    """Every split into batches sends on the same blocks, each once."""
+    rows = [(1, 2, 1, 1), (2, 3, 1, 2), (2, 3, 2, 2), (3, 5, 1, 3), (3, 6, 1, 4), (4, 6, 1, 5), (4, 7, 2, 5), (5, 8, 1, 6), (6, 9, 1, 7)]
+    parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], ["h", "b", "doc", "pack"]) for part in parts]
+    got = [tuple(r.values()) for out in suffix_dedup._meet(iter(batches)) for r in out.to_pylist()]
+    assert sorted(g for g in got if g[0] is None) == [(None, 2, 2)]
+    assert sorted(g for g in got if g[0] is not None) == [(2, 1, 2), (3, 1, 3), (3, 1, 4), (4, 1, 5), (4, 2, 5), (6, 1, 7)]
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
