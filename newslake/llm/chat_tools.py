@@ -145,8 +145,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
 def logged_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results as a tool log would hold them, derived from every turn of the conversations.
 
-    Each user turn is a call whose arguments quote the whole turn; the next turn is its result. By the turn's
-    number and text, some calls refer to the call before, some lack or mistype an argument, and some results never come.
+    Each user turn is a call whose arguments quote the whole turn. Each assistant turn is a result, of the call in the
+    turn before it if that is a user's. Turns of all other roles, or of none, are results without a call id. By the turn's
+    number and text, some calls refer to the call before and some lack or mistype an argument.
     """
     tool = F.element_at(F.array(*map(F.lit, sorted(SCHEMAS))), (F.pmod(F.xxhash64("text"), F.lit(3)) + 1).cast("int"))
     fault = F.pmod(F.xxhash64("text", F.lit("fault")), F.lit(10))
@@ -160,6 +161,7 @@ def logged_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     asked = turns.where("role = 'user'")
     refers = F.when((F.col("turn") > 2) & (fault < 6), F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
     calls = asked.select("conv_id", "turn", name(F.col("turn")).alias("call_id"), tool.alias("tool"), body.alias("arguments"), refers.alias("refers"))
-    answered = turns.where("role = 'assistant'").where(F.pmod(F.xxhash64("text", F.lit("lost")), F.lit(12)) > 0)
-    results = answered.select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    others = turns.where(~F.col("role").eqNullSafe("user"))
+    answers = F.when(F.col("role") == "assistant", name(F.col("turn") - 1))
+    results = others.select("conv_id", "turn", answers.alias("call_id"), F.col("text").alias("content"))
     return calls, results

@@ -42,5 +42,25 @@ def test_linking_order_and_faults(spark):
         json.loads(r.canonical)
 
 
+def test_every_turn_is_in_the_result(spark):
+    turns = [(1, 0, "system", "be brief"), (1, 1, "user", "question"), (1, 2, "tool", "said by a tool"), (1, 3, None, "said by nobody"),
+             (1, 4, "assistant", "after nobody"), (1, 5, "user", "last words"), (None, 1, "assistant", "nowhere"), (1, None, "assistant", "some time"), (1, 6, "system", None)]
+    turns += [(2, 2 * i + k, role, f"{role} {i}") for i in range(60) for k, role in enumerate(("user", "assistant"))]
+    calls, results = chat_tools.logged_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    rows = chat_tools.link(calls, results).collect()
+    by = {(r.conv_id, r.turn): r for r in rows}
+    assert len(by) == len(rows) == len(turns) - 60
+    users = {(c, t) for c, t, role, _ in turns if role == "user"}
+    for conv, turn, role, text in turns:
+        if role == "assistant" and turn is not None and (conv, turn - 1) in users:
+            call = by[conv, turn - 1]
+            assert call.status == "linked" and json.loads(call.canonical)["result"] == text
+        elif role != "user":
+            row = by[conv, turn]
+            assert row.status == "no call" and json.loads(row.canonical)["result"] == text
+            assert (row.call_id is None) == (role != "assistant" or turn is None)
+    assert by[1, 1].status == by[1, 5].status == "no result"
+
+
 def test_empty_tables(spark):
     assert chat_tools.link(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)).count() == 0
