@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 back as the next stage's documents. All but the last return the columns of ``documents``, also where
 the input has further columns.
 
-* ``language``: documents whose language cannot be told (``und``) go.
+* ``language``: documents without a letter, whose language is ``und``, go. The model names a language for all others and
+  its score rejects none; where no row has a language to learn from, the letters alone decide.
 * ``near_dedup``: of each group of near duplicates the document with the smallest id stays, once.
 * ``suffix_dedup``: repeated strings of 100 bytes are cut out; ``n_chars`` counts what is left, bytes that a cut
   left of a character go with it, and documents with nothing left go.
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.llm import decontaminate, language, mixing, near_dedup, suffix_dedup
-from newslake.llm.common import map_batches, table
+from newslake.llm.common import map_batches, table, text_or_empty
 from newslake.session import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,8 +34,10 @@ def _matching(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Uses the text and the learned model only; every row is decided where it is read."""
+    """Uses the text and the learned model, if any; every row is decided where it is read."""
     model = language.fit(docs)
+    if model is None:
+        return docs.select(COLUMNS).where(text_or_empty().rlike(r"\p{L}"))
     return language.labelled(docs.select(COLUMNS), model).where(F.col("lang_pred") != language.UNKNOWN).select(COLUMNS)
 
 

@@ -31,3 +31,12 @@ def test_odd_rows_pass_every_stage(spark):
     kept = p.near_dedup_stage(spark, odd, SF).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "3", "None"]
     assert {r.doc_id for r in p.language_stage(spark, odd, SF).collect()} == {None, 3, 4}
+
+
+def test_language_stage_without_any_label(spark):
+    """With nothing to learn from, only texts without a letter go."""
+    rows = [(1, "the and of with", None, "s", 15), (2, "12 + 7", None, "s", 6), (3, None, None, "s", None), (None, "é", None, None, 1), (4, "да", None, "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = p.language_stage(spark, docs, SF)
+    assert kept.columns == p.COLUMNS
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: "the and of with", None: "é", 4: "да"}
