@@ -96,15 +96,15 @@ def row_frames(
 ) -> DataFrame:
     """Window functions over the current and up to ``preceding`` earlier rows.
 
-    Rows are numbered, then cut into blocks of ``block_rows``. The last rows of a
-    block are copied into the next one, so each frame is whole within its block
-    and no window group exceeds ``block_rows + preceding``. ``columns`` maps a name
-    to a function of the (ordered) block window.
+    Rows are numbered, then cut into blocks of ``block_rows``. A row is copied into
+    every block whose frames reach back to it, one in most cases and more if ``preceding``
+    exceeds a block, so each frame is whole within its block and no window group
+    exceeds ``block_rows + preceding``. ``columns`` maps a name to a function of the
+    (ordered) block window.
     """
     rows = numbered(df, keys, order, "_pos")
     block = block_of(F.col("_pos"), block_rows)
-    tail = (F.col("_pos") - 1) % block_rows >= block_rows - preceding
-    homes = F.when(tail, F.array(block, block + 1)).otherwise(F.array(block))
+    homes = F.sequence(block, block_of(F.col("_pos") + preceding, block_rows))
     copies = rows.withColumn("_block", F.explode(homes))
     window = Window.partitionBy(*keys, "_block").orderBy("_pos")
     computed = copies.withColumns({name: make(window) for name, make in columns.items()})

@@ -54,6 +54,18 @@ def test_row_frames(hot, block_rows):
     assert np.array_equal(got["before"].fillna(-1), before.fillna(-1))
 
 
+@pytest.mark.parametrize("preceding, block_rows", [(10, 4), (9, 3), (4, 4)])
+def test_frames_longer_than_a_block(hot, preceding, block_rows):
+    frame, df = hot
+    frame, df = frame[frame["id"] < 200], df.where("id < 200")
+    made = {"n": lambda w: F.count("*").over(w.rowsBetween(-preceding, 0)), "sum": lambda w: F.sum("id").over(w.rowsBetween(-preceding, 0))}
+    got = position.row_frames(df, ["key"], ["t", "id"], preceding, made, block_rows).toPandas().set_index("id").sort_index()
+    moving = frame.sort_values(["t", "id"]).groupby("key")["id"].rolling(preceding + 1, min_periods=1)
+    assert len(got) == len(frame)
+    assert np.array_equal(got["n"], moving.count().droplevel(0).sort_index())
+    assert np.array_equal(got["sum"], moving.sum().droplevel(0).sort_index())
+
+
 def test_percentiles(hot):
     frame, df = hot
     got = position.percentiles(df, ["key"], "x", [0.0, 0.5, 0.95, 1.0]).collect()
