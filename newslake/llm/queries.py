@@ -9,11 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newslake.llm import (
+    alignment,
     chat_tools,
     decontaminate,
+    importance,
     language,
     mixing,
     near_dedup,
+    packing,
     quality_mil,
     quality_votes,
     suffix_dedup,
@@ -23,6 +26,8 @@ from newslake.llm import (
 from newslake.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
+WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def op1_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +73,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_tools, op2_suffix_dedup, op3_quality_mil, op4_toxicity, op5_language, op6_token_counts,
-              op7_quality_votes, op8_near_dedup, op9_decontaminate, op10_mixing)
+              op7_quality_votes, op8_near_dedup, op9_decontaminate, op10_mixing, op11_importance, op12_packing, op13_alignment)
 } | {"pipeline": corpus_pipeline.run}
-SQL: dict[str, str] = {"op9_decontaminate": decontaminate.SQL}
+SQL: dict[str, str] = {"op9_decontaminate": decontaminate.SQL, "op11_importance": importance.SQL}
