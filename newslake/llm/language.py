@@ -16,6 +16,7 @@ of the winner), between 0 and 1.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newslake.llm.common import fold, map_batches, text_or_empty
+from newslake.llm.common import fold, free_memory, map_batches, text_or_empty
 from newslake.llm.sampling import one_per_id, stratified
 from newslake.llm.textbytes import LOWER, Run, runs
 
@@ -154,20 +155,53 @@ def _sample_shares(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
     return [pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "shares"])]
 
 
+MACHINES = "step string, family string, lefts string, rights string, weights binary, bias double"
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All machines of both steps, from the whole sample; its rows are put in order, so that the result does not depend on how they came."""
+    rows = sorted((lang, row) for batch in batches for lang, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+    if rows:
+        x = np.frombuffer(b"".join(row for _, row in rows), np.float32).reshape(-1, BUCKETS)
+        names = np.array([lang for lang, _ in rows], object)
+        del rows
+        family = np.array([_family_of(n) for n in names], object)
+        steps = [("families", "", _step(x, family))] + [("languages", f, _step(x[family == f], names[family == f])) for f in sorted(set(family))]
+        out = []
+        for kind, name, step in steps:
+            out += [(kind, name, c, c, b"", 0.0) for c in step.classes]  # the classes themselves: a step of one class has no machine
+            out += [(kind, name, m.left, m.right, m.weights.tobytes(), m.bias) for m in step.machines]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.string()] * 4 + [pa.binary(), pa.float64()], strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, ["step", "family", "lefts", "rights", "weights", "bias"])
+    free_memory()
+
+
+def _step_of(rows: list) -> Step:
+    return Step(
+        sorted(r.lefts for r in rows if r.lefts == r.rights),
+        [Machine(r.lefts, r.rights, np.frombuffer(r.weights, np.float32), r.bias) for r in rows if r.lefts != r.rights],
+    )
+
+
 def fit(docs: DataFrame) -> LanguageModel | None:
-    """Learn from a bounded sample of the rows outside the held-out fold; None without any."""
+    """Learn from a bounded sample of the rows outside the held-out fold; None without any.
+
+    One task trains on the sample and returns the machines' weights; the driver sees nothing else.
+    """
     known = docs.where("lang is not null and text is not null").select("doc_id", "lang")
     known = one_per_id(known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT), "lang")
     chosen = stratified(known, F.col("lang"), PER_LANGUAGE)
     # Several rows may share an id: of those only rows with the chosen language are used.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").join(chosen, ["doc_id", "lang"], "left_semi")
-    rows = map_batches(texts, _sample_shares, "lang string, shares binary").orderBy("lang", "shares").toArrow()
-    if not len(rows):
+    sample = map_batches(texts, _sample_shares, "lang string, shares binary")
+    rows = sample.repartition(1).mapInArrow(_trained, MACHINES).collect()
+    if not rows:
         return None
-    x = np.frombuffer(b"".join(rows.column("shares").to_pylist()), np.float32).reshape(-1, BUCKETS)
-    names = np.array(rows.column("lang").to_pylist(), object)
-    family = np.array([_family_of(n) for n in names], object)
-    return LanguageModel(_step(x, family), {f: _step(x[family == f], names[family == f]) for f in sorted(set(family))})
+    families = sorted({r.family for r in rows if r.step == "languages"})
+    return LanguageModel(
+        _step_of([r for r in rows if r.step == "families"]),
+        {f: _step_of([r for r in rows if r.step == "languages" and r.family == f]) for f in families},
+    )
 
 
 def labelled(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
