@@ -15,7 +15,7 @@ The driver sees the histogram (``UNITS`` numbers) and a plan of at most ``UNITS
 remainders are stored, two bytes each for small vocabularies. Checksums of whole pieces are taken where the text is encoded; pieces cut
 from the tape meet the stored ids again.
 
-Words between ASCII white space are encoded once per worker; the vocabulary drops white space, which no token and no added token contains,
+Distinct words between ASCII white space are encoded once per worker; the vocabulary drops white space, which no token and no added token contains,
 so the words' ids in a row are the text's. Null text is empty: its document is the end id alone. Repeated rows and null ids are documents of their
 own. An empty table gives an empty result. Other columns of the input are not read.
 """
@@ -23,6 +23,7 @@ own. An empty table gives an empty result. Other columns of the input are not re
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -41,18 +42,31 @@ UNITS = 32
 DEPTH = 8
 END_ID = 2
 BLOCK = 1 << 18  # tokens of the tape that one task cuts at a time
-MOST_WORDS = 200_000  # words a worker keeps; beyond, it starts anew
+MOST_WORDS = 400_000  # words, and pieces of words, that a worker keeps; beyond, it starts anew
+# How the vocabulary cuts lower-case text, here over the letters of PLAIN, and its mark of a word's end.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\\sa-z0-9À-ÖØ-öø-ſ]+")
+PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")  # lower case and composition change nothing else about these
+WORD_END = "</w>"
 
 
 class WordEncoder:
-    """Ids of texts, each distinct word encoded once."""
+    """Ids of texts, each distinct word encoded once.
+
+    A word of printable ASCII and Latin letters is further cut as the vocabulary cuts it; these pieces, far fewer than words, go
+    to the library many at a time and are told apart by the word-end marks of their last tokens. All other words, and words that hold an
+    added token, go to the library as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
+        vocabulary = self.library.get_vocab()
+        self.kind = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
+        self.closing = {i for t, i in vocabulary.items() if t.endswith(WORD_END)}
+        self.pieces: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -60,14 +74,41 @@ class WordEncoder:
         self.first = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _learn_pieces(self, new: list[str]) -> None:
+        if len(self.pieces) > MOST_WORDS:
+            self.pieces = {}
+        known, closing = self.pieces, self.closing
+        for k in range(0, len(new), 64):
+            part = new[k : k + 64]
+            at = 0
+            ids = self.library.encode(" ".join(part), add_special_tokens=False).ids
+            ends = [n + 1 for n, i in enumerate(ids) if i in closing]
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            for piece, end in zip(part, ends, strict=True):
+                known[piece] = ids[at:end]
+                at = end
+
+    def _ids_of(self, words: list[bytes]) -> list[list[int]]:
+        joined = b" ".join(words).decode()
+        names = joined.split(" ")
+        plain = list(map(PLAIN.fullmatch, names))
+        if self.added.search(joined):
+            plain = [p and not self.added.search(p[0]) for p in plain]
+        cut = [PIECES.findall(w.lower()) if p else [] for w, p in zip(names, plain, strict=True)]
+        self._learn_pieces([c for c in dict.fromkeys(c for cs in cut for c in cs) if c not in self.pieces])
+        rest = iter(self.library.encode_batch([w for w, p in zip(names, plain, strict=True) if not p], add_special_tokens=False))
+        known = self.pieces
+        return [(known[cs[0]] if len(cs) == 1 else [i for c in cs for i in known[c]]) if p else next(rest).ids for p, cs in zip(plain, cut, strict=True)]
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         words = [t.split() for t in texts]
         if len(self.index) > MOST_WORDS:
             self.forget()
         known = self.index
-        new = [w for w in dict.fromkeys(w for ws in words for w in ws) if w not in known]
+        new = list({w for ws in words for w in ws}.difference(known))
         if new:
-            found = [e.ids for e in self.library.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+            found = self._ids_of(new)
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             sizes = np.cumsum([len(f) for f in found])
             self.first = np.concatenate([self.first, self.first[-1] + sizes])
@@ -296,7 +337,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
                        (F.col("after") - F.col("rest")).alias("offset"))
     whole = tape.join(parts.where("size(segments) = 1"), "row").select("doc_id", start, F.col("rest").alias("length"), F.col("rest_crc").alias("ids_crc32"), "doc_tokens",
                        F.col("segments")[0]["sequence"].alias("sequence_id"), F.col("segments")[0]["offset"].alias("offset"))
-    cut = texts.join(parts.where("size(segments) > 1"), "row").select("doc_id", "doc_tokens", "rest_ids", "segments")
+    # Merged at every size: what is cut grows with the input, and a broadcast here would only hide the shuffle in small runs.
+    cut = texts.join(parts.where("size(segments) > 1").hint("merge"), "row").select("doc_id", "doc_tokens", "rest_ids", "segments")
     cut = map_batches(cut, _checked(path), OUT_SCHEMA)
     long = running_total(texts.where("size(crcs) > 0").select("row", "doc_id", "doc_tokens", "crcs"), [], ["row"], F.size("crcs"), "upto")
     before = F.col("upto") - F.size("crcs") + following
