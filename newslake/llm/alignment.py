@@ -40,7 +40,8 @@ from newslake.session import settle
 
 CHUNK_UNITS = 1 << 20
 MOST_UNITS = 150_000  # units a worker keeps; beyond, it ends its chunk and starts anew
-EDGE = re.compile("(?<=[^\\s᠎​﻿]) ")
+EDGE = re.compile("(?<=[^\\s\u180e\u200b\ufeff]) ")
+ENDS = re.compile("[^\\s\u180e\u200b\ufeff]\\Z")
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 LOW = (1 << 32) - 1
 
@@ -116,15 +117,47 @@ class Aligner:
         return [np.fromiter(map(known.__getitem__, p), np.int32, len(p)) for p in parts]
 
     def _encode(self, new: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        left = [e.ids for e in self.a.encode_batch([" " + u for u in new], add_special_tokens=False)]
-        right = [r if u else [self.space] for u, r in zip(new, self.b.encode(new, num_threads=1), strict=True)]
-        a, b = self.a_bytes, self.b_bytes
+        """Ids of both sides, and which units both write unchanged.
+
+        Units are encoded many at a time, as a text of them; the bytes tell where each ends. A unit that ends in white space would not
+        end there, and goes alone.
+        """
+        left: list[list[int]] = [[]] * len(new)
+        right: list[list[int]] = [[]] * len(new)
         fine = np.zeros(len(new), bool)
-        for k, (u, x, y) in enumerate(zip(new, left, right, strict=True)):
-            whole = b" " + u.encode()
-            fine[k] = b"".join([a[i] for i in x]) == whole and b"".join([b[i] for i in y]) == whole
+        inner, alone = [], []
+        for k, u in enumerate(new):
+            if ENDS.search(u):
+                inner.append(k)
+            else:
+                alone.append([k])
+        groups = [inner[k : k + 64] for k in range(0, len(inner), 64)] + alone
+        texts = [" ".join([new[k] for k in g]) for g in groups]
+        found = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        pieces = [y if t else [self.space] for t, y in zip(texts, self.b.encode(texts, num_threads=1), strict=True)]
+        for g, t, x, y in zip(groups, texts, found, pieces, strict=True):
+            if not self._split(g, new, t, x.ids, y, left, right, fine) and len(g) > 1:
+                for k in g:  # one of them is not written unchanged
+                    ids = self.a.encode(" " + new[k], add_special_tokens=False).ids
+                    self._split([k], new, new[k], ids, self.b.encode(new[k]) if new[k] else [self.space], left, right, fine)
         return left, right, fine
 
+    def _split(self, group: list[int], new: list[str], text: str, x: list[int], y: list[int], left: list, right: list, fine: np.ndarray) -> bool:
+        whole = b" " + text.encode()
+        if b"".join([self.a_bytes[i] for i in x]) != whole or b"".join([self.b_bytes[i] for i in y]) != whole:
+            return False
+        ends = np.cumsum([1 + (len(new[k]) if new[k].isascii() else len(new[k].encode())) for k in group])
+        for ids, sizes, side in ((x, self.a_size, left), (y, self.b_size, right)):
+            reached = np.cumsum(sizes[ids])
+            cuts = np.searchsorted(reached, ends)
+            if (reached[cuts] != ends).any():
+                raise ValueError("a token reaches over the edge before a space")
+            first = 0
+            for k, last in zip(group, (cuts + 1).tolist(), strict=True):
+                side[k], first = ids[first:last], last
+        fine[group] = True
+        return True
+
     def _learn(self, new: list[str]) -> None:
         left, right, fine = self._encode(new)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
