@@ -2,7 +2,7 @@
 
 Tokens are summed per cell of source, language and topic. The cells' weights are raked: scaled to
 the target of each source, then of each language, then of each topic, and again, until all three
-marginals hold. A cell's weight over its tokens is the rate at which its tokens should be taken; rates
+marginals hold or come no closer; what is left is returned per marginal. A cell's weight over its tokens is the rate at which its tokens should be taken; rates
 are scaled to a token budget, those above one are cut to one and the rest raised accordingly. A
 document is taken with its cell's probability, decided by a hash of its id, so the expected
 token mix of the sample follows the targets and a rerun takes the same documents.
@@ -30,11 +30,13 @@ from newslake.llm.textbytes import SPACE, Run, runs
 from newslake.session import estimated_bytes, settle
 
 DIMENSIONS = ("source", "lang", "topic")
+MISSES = [f"miss_{d}" for d in DIMENSIONS]
 # Without explicit targets a label's share is its token share to this power, scaled to one.
 TEMPERATURE = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 BUDGET = 0.5  # of all tokens
 SEED = 20240607
-ROUNDS, CLOSE = 40, 1e-6
+CLOSE = 1e-6  # largest relative miss of a marginal at which raking ends
+STALE, FALL = 5, 0.99  # it also ends when so many rounds have not brought the largest miss below this share of what it was
 # A text's topic is the first whose characters make more than its limit of the text.
 TOPICS = ("symbols", "figures", "listing", "prose")
 LIMITS = (0.05, 0.1, 0.02)
@@ -100,11 +102,25 @@ def _targets(cells: DataFrame, dimension: str, given: dict[str, float] | None) -
     return settle(scored.select(dimension, (F.col("wanted") / F.lit(float(total))).alias("target")), f"target-{dimension}")
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``weight``: sums over each dimension equal its targets as far as the cells allow."""
+def _misses(state: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """Cells with ``miss_`` of each dimension: by how much of its target the sum over the cell's label misses it."""
+    for d in DIMENSIONS:
+        sums = state.groupBy(d).agg(F.sum("weight").alias("now")).join(targets[d], d)
+        off = F.abs(F.col("now") / F.col("target") - 1)
+        state = _together(settle(state.join(sums.select(d, F.coalesce(off, F.lit(0.0)).alias(f"miss_{d}")), d), "missed-cells"))
+    return state
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """Cells with ``weight`` and ``miss_source``, ``miss_lang``, ``miss_topic``.
+
+    Rounds go on until all sums equal their targets to ``CLOSE`` or no longer come closer. Where cells cannot meet all targets
+    (a source found in one language only, say), the last dimension holds and the misses tell how far off the others are.
+    """
     state = _together(cells).withColumn("weight", F.col("tokens").cast("double"))
     targets = {d: _together(t) for d, t in targets.items()}
-    for _ in range(rounds):
+    seen: list[float] = []
+    while True:
         errors = []
         for d in DIMENSIONS:
             sums = state.groupBy(d).agg(F.sum("weight").alias("now")).join(targets[d], d)
@@ -112,11 +128,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             state = state.join(factors, d).withColumn(f"off_{d}", F.abs(F.col("factor") - 1)).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
             errors.append(f"off_{d}")
         state = _together(settle(state, "raked-cells"))
-        worst = state.agg(F.max(F.greatest(*errors))).first()[0] or 0.0
+        seen.append(state.agg(F.max(F.greatest(*errors))).first()[0] or 0.0)
         state = state.drop(*errors)
-        if worst < CLOSE:
-            break
-    return state
+        if seen[-1] < CLOSE or (len(seen) > STALE and seen[-1] > FALL * seen[-1 - STALE]):
+            return _misses(state, targets)
 
 
 def probabilities(cells: DataFrame, budget: float) -> DataFrame:
@@ -148,20 +163,21 @@ def chances(rows: DataFrame, targets: dict[str, dict[str, float]] | None = None,
     return settle(probabilities(rake(cells, wanted), budget).drop("tokens", "weight"), "chances")
 
 
-def _with_chance(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows with ``probability`` and ``taken``; labels as columns _source, _lang and topic."""
+def _with_chance(rows: DataFrame, found: DataFrame, *more: str) -> DataFrame:
+    """Rows with ``probability``, further columns of the cell and ``taken``; labels as columns _source, _lang and topic."""
     same = reduce(lambda a, b: a & b, (F.col(f"r.{r}") == F.col(f"c.{c}") for r, c in zip(("_source", "_lang", "topic"), DIMENSIONS, strict=True)))
     p = F.when(F.col("tokens") > 0, F.coalesce("c.probability", F.lit(0.0))).otherwise(0.0)
-    joined = rows.alias("r").join(found.alias("c"), same, "left").select("r.*", p.alias("probability"))
+    joined = rows.alias("r").join(found.alias("c"), same, "left").select("r.*", p.alias("probability"), *(F.col(f"c.{m}") for m in more))
     return joined.withColumn("taken", draw() < F.col("probability"))
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:
-    """Per row: doc_id, source, lang, topic, tokens, probability and whether it is taken."""
+    """Per row: doc_id, source, lang, topic, tokens, probability, whether it is taken, and the misses of its cell's marginals (null without a cell)."""
     rows = settle(labelled(docs), "labelled")
     found = chances(rows, targets, budget)
     rows = rows.withColumnsRenamed({"source": "_source", "lang": "_lang"})
-    return _with_chance(rows, found).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic", "tokens", "probability", "taken")
+    labels = [F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic"]
+    return _with_chance(rows, found, *MISSES).select("doc_id", *labels, "tokens", "probability", "taken", *MISSES)
 
 
 def sampled(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, budget: float = BUDGET) -> DataFrame:

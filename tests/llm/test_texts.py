@@ -124,6 +124,7 @@ def test_mixing(spark):
     raked = mixing.rake(cells, {d: mixing._targets(cells, d, targets.get(d)) for d in mixing.DIMENSIONS}).collect()
     for label, share in targets["lang"].items():
         assert abs(sum(x.weight for x in raked if x.lang == label) - share) < 1e-4
+    assert max(x[m] for x in raked for m in mixing.MISSES) < 1e-5
     got = mixing.mix(df, targets, budget=0.2).collect()
     assert len(got) == len(rows)
     total, chosen = sum(g.tokens for g in got), sum(g.tokens for g in got if g.taken)
@@ -132,3 +133,16 @@ def test_mixing(spark):
     kept = {r.doc_id for r in mixing.sampled(df, targets, budget=0.2).collect()}
     assert kept == {g.doc_id for g in got if g.taken}
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_mixing_reports_targets_that_cells_cannot_meet(spark):
+    """c is found in fr only, with other targets: raking ends, and the misses are those of the returned weights."""
+    cells = spark.createDataFrame([("a", "en", "prose", 100), ("a", "de", "prose", 50), ("b", "de", "prose", 30), ("c", "fr", "prose", 20)], "source string, lang string, topic string, tokens long")
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.1, "de": 0.5, "fr": 0.4}}
+    wanted = {d: mixing._targets(cells, d, targets.get(d)) for d in mixing.DIMENSIONS}
+    got = mixing.rake(cells, wanted).collect()
+    for d, shares in (targets | {"topic": {"prose": 1.0}}).items():
+        for label, share in shares.items():
+            now = sum(r.weight for r in got if r[d] == label)
+            assert all(abs(r[f"miss_{d}"] - abs(now / share - 1)) < 1e-9 for r in got if r[d] == label)
+    assert max(r.miss_topic for r in got) < 1e-9 and max(r.miss_source for r in got) > 0.2
