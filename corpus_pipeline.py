@@ -4,8 +4,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 back as the next stage's documents. All but the last return the columns of ``documents``, also where
 the input has further columns.
 
-* ``language``: documents without a letter, whose language is ``und``, go. The model names a language for all others and
-  its score rejects none; where no row has a language to learn from, the letters alone decide.
+* ``language``: documents without a letter, whose language is ``und``, go, and those whose score is below ``LEAST_SCORE``.
+  Documents without a language get the predicted one, by which ``mixing`` weighs them; where no row has a language to learn from, the letters
+  alone decide.
 * ``near_dedup``: of each group of near duplicates the document with the smallest id stays, once.
 * ``suffix_dedup``: repeated strings of 100 bytes are cut out; ``n_chars`` counts what is left, bytes that a cut
   left of a character go with it, and documents with nothing left go.
@@ -24,7 +25,9 @@ from newslake.llm.common import map_batches, table, text_or_empty
 from newslake.session import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-ORACLE_SQL = None  # the language models and the suffix sort are not expressible; see the brute-force tests
+# A text that wins each of its duels scores at least 0.5 in both steps, so at least 0.25 in all: only one that loses a duel can score less.
+LEAST_SCORE = 0.25
+ORACLE_SQL = None  # the language models and the suffix sort are not expressible; tests/llm/test_pipeline.py compares every stage with a plain version
 
 
 def _matching(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -38,7 +41,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.fit(docs)
     if model is None:
         return docs.select(COLUMNS).where(text_or_empty().rlike(r"\p{L}"))
-    return language.labelled(docs.select(COLUMNS), model).where(F.col("lang_pred") != language.UNKNOWN).select(COLUMNS)
+    found = language.labelled(docs.select(COLUMNS), model)
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
