@@ -1,6 +1,6 @@
 """Exact cosine top-k of every question over a vector table.
 
-The table is scanned once per block of questions. Each task scores its rows
+The table is scanned once per block of questions, block after block. Each task scores its rows
 against the block with one matrix product per Arrow batch and keeps k rows per
 question, so the pairs are never rows of a join. The survivors, at most k per
 question and task, are merged by a ranked window.
@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from newslake.functions.vectors import has_dimension
 from newslake.operators.embed import unit_rows
-from newslake.session import settle
+from newslake.operators.position import block_of, numbered
+from newslake.session import scratch_path, settle
 
 # Upper bound of what one block of questions occupies in a task.
 BLOCK_BYTES = 64 * 1024 * 1024
@@ -93,6 +94,25 @@ def _arrow_type(field: T.StructField) -> pa.DataType:
     return kinds[field.dataType]
 
 
+def _blocks(asked: DataFrame, per_block: int) -> tuple[DataFrame, int]:
+    """Questions in blocks of at most ``per_block`` rows, one folder a block, and the number of blocks."""
+    rows = settle(asked.withColumn("_row", F.monotonically_increasing_id()), "questions")
+    blocks = -(-rows.count() // per_block)
+    placed = numbered(rows, [], ["_row"], "_place") if blocks > 1 else rows.withColumn("_place", F.lit(1).cast("long"))
+    path = scratch_path(asked.sparkSession, "question-blocks")
+    placed = placed.select("question_id", "vector", (block_of(F.col("_place"), per_block)).alias("_block"))
+    placed.write.partitionBy("_block").parquet(path)
+    return asked.sparkSession.read.schema(placed.schema).parquet(path), blocks
+
+
+def block_hits(corpus: DataFrame, block, k: int, dimension: int, schema: T.StructType) -> DataFrame:
+    """The k best rows of a corpus (id, vector) for each question of a broadcast block, ranked."""
+    kind = (_arrow_type(schema[0]), _arrow_type(schema[1]))
+    hits = corpus.mapInArrow(lambda batches: _score_partition(batches, block, k, dimension, kind), schema)
+    by_score = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "id")
+    return hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+
+
 def nearest(
     questions: DataFrame,
     table: DataFrame,
@@ -102,20 +122,18 @@ def nearest(
 ) -> DataFrame:
     """``question_id, id, score, rank`` of the k nearest rows per question.
 
-    ``questions`` has ``question_id`` and ``vector``, ``table`` has ``id`` and
+    ``questions`` has ``question_id`` (unique) and ``vector``, ``table`` has ``id`` and
     ``vector``; ids are unique, strings or integers. Vectors of another dimension
     cannot be compared and belong to the dead letters (``split_by_dimension``).
+
+    Blocks are searched one after another: a block of at most ``block_bytes`` passes through the driver, is broadcast, its hits are
+    written to the shared folder, and it is given up before the next. What the driver and the tasks hold does not depend on the
+    number of questions.
     """
     spark = questions.sparkSession
     fits = has_dimension(F.col("vector"), dimension)
-    asked = settle(
-        questions.where(fits).select(
-            "question_id", "vector", F.monotonically_increasing_id().alias("_row")
-        ),
-        "questions",
-    )
     per_block = max(1, block_bytes // (8 * dimension))
-    blocks = max(1, -(-asked.count() // per_block))
+    asked, blocks = _blocks(questions.where(fits).select("question_id", "vector"), per_block)
     schema = T.StructType(
         [
             T.StructField("question_id", asked.schema["question_id"].dataType),
@@ -123,23 +141,19 @@ def nearest(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    kind = (_arrow_type(schema[0]), _arrow_type(schema[1]))
+    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
+    if not blocks:
+        return spark.createDataFrame([], ranked)
     corpus = table.where(fits).select("id", "vector")
-    found = None
+    path = scratch_path(spark, "hits")
     for b in range(blocks):
-        part = asked.where(F.pmod("_row", F.lit(blocks)) == b).select("question_id", "vector")
-        held = part.toArrow()
-        vectors = held.column("vector").combine_chunks()
-        block = spark.sparkContext.broadcast(
-            (held.column("question_id").to_pylist(), _matrix(vectors, dimension))
-        )
-        hits = corpus.mapInArrow(
-            lambda batches, block=block: _score_partition(batches, block, k, dimension, kind),
-            schema,
-        )
-        found = hits if found is None else found.unionAll(hits)
-    by_score = Window.partitionBy("question_id").orderBy(F.col("score").desc(), "id")
-    return found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+        held = asked.where(F.col("_block") == b).select("question_id", "vector").toArrow()
+        vectors = _matrix(held.column("vector").combine_chunks(), dimension)
+        block = spark.sparkContext.broadcast((held.column("question_id").to_pylist(), vectors))
+        del held, vectors
+        block_hits(corpus, block, k, dimension, schema).write.mode("append").parquet(path)
+        block.destroy()
+    return spark.read.schema(ranked).parquet(path)
 
 
 def search(
@@ -151,10 +165,10 @@ def search(
 ) -> DataFrame:
     """Hits with their article fields; missing fields become ''.
 
-    The hits are settled first: they are k per question, so the planner sees their
+    The hits are files already: they are k per question, so the planner sees their
     size and can find their rows without shuffling the table.
     """
-    hits = settle(nearest(questions, table, k, dimension), "hits")
+    hits = nearest(questions, table, k, dimension)
     found = table.select("id", *fields).join(hits, "id")
     return found.select(
         "question_id",

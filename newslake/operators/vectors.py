@@ -1,8 +1,14 @@
-"""The vector table: rows to store, versioned upsert, current state."""
+"""The vector table: rows to store, upsert by several writers, current state.
+
+The table is a set of data folders under a commit log (``sources/commits.py``), each with one folder per hash bucket of the URL. A
+batch reads only the buckets its URLs fall into.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +18,13 @@ from newslake.functions.vectors import has_dimension
 from newslake.operators.embed import DIMENSION
 from newslake.schemas import VECTOR_ROW
 from newslake.session import settle
+from newslake.sources import commits
 
 VERSION = "version"
+BUCKET = "bucket"
+DATA = "data"
+BUCKETS = 16  # a table keeps the number it was made with
+MOST_FOLDERS = 24
 WRONG_SIZE = "vector has the wrong dimension"
 
 
@@ -53,24 +64,63 @@ def split_by_dimension(points: DataFrame, dimension: int = DIMENSION) -> tuple[D
     return points.where(fits), points.where(~fits)
 
 
-def upsert(points: DataFrame, root: str, version: int) -> None:
-    """Store points under a version. Ids must be unique within the version.
+def bucket_of(url: Column, key: Column, buckets: int = BUCKETS) -> Column:
+    """Bucket of a row: by URL, by id without one. Rows with one id have one URL, so they share a bucket."""
+    return F.pmod(F.xxhash64(F.coalesce(text.or_none(url), key)), F.lit(buckets)).cast("int")
+
+
+def _write(points: DataFrame, root: str) -> tuple[str, list[int]]:
+    """A new data folder with one folder per bucket: its name, and the buckets that have rows. Not part of the table until committed."""
+    name = uuid.uuid4().hex
+    path = f"{root}/{DATA}/{name}"
+    rows = points.withColumn(BUCKET, bucket_of(F.col("url"), F.col("id"))).hint("rebalance", BUCKET)
+    rows.write.partitionBy(BUCKET).parquet(path)
+    schema = T.StructType([*VECTOR_ROW.fields, T.StructField(BUCKET, T.IntegerType())])
+    return name, [r[BUCKET] for r in points.sparkSession.read.schema(schema).parquet(path).select(BUCKET).distinct().collect()]
+
+
+def upsert(points: DataFrame, root: str, batch: int, writer: str = "batch") -> int:
+    """Store points as a writer's batch. Ids must be unique within it.
 
-    Plain Parquet has no MERGE: the newest version of an id is its current row.
-    Writing a version again replaces it, so a replayed batch changes nothing.
+    Plain Parquet has no MERGE: the newest commit of an id holds its current row. Several writers may store at the
+    same time, each with batch numbers of its own; a batch stored again replaces itself and keeps its place.
     """
-    points.write.mode("overwrite").parquet(f"{root}/{VERSION}={version}")
+    folder, buckets = _write(points, root)
+    return commits.commit(points.sparkSession, root, folder, writer, batch, buckets)
+
+
+def _rows(spark: SparkSession, root: str, folders: list[commits.Folder], buckets: Sequence[int] | None = None) -> DataFrame:
+    """Rows of data folders with their ``version``; with ``buckets``, only these buckets' folders are listed and read."""
+    schema = T.StructType([*VECTOR_ROW.fields, T.StructField(BUCKET, T.IntegerType()), T.StructField(VERSION, T.LongType())])
+    out = None
+    for f in folders:
+        base = f"{root}/{DATA}/{f.path}"
+        wanted = None if buckets is None else sorted(set(buckets) & set(f.buckets))
+        if not f.buckets or wanted == []:
+            continue
+        paths = [base] if wanted is None else [f"{base}/{BUCKET}={b}" for b in wanted]
+        part = spark.read.schema(T.StructType(schema.fields[:-1])).option("basePath", base).parquet(*paths)
+        part = part.withColumn(VERSION, F.lit(f.order).cast("long"))
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def all_versions(
+    spark: SparkSession, root: str, buckets: Sequence[int] | None = None, besides: tuple[str, int] | None = None
+) -> DataFrame:
+    """Every stored version; an absent table is empty.
+
+    ``buckets`` limits reading to these; ``besides`` leaves out what a (writer, batch) stored, for its own replay.
+    """
+    live = commits.state(spark, root).folders.values()
+    return _rows(spark, root, [f for f in live if (f.writer, f.batch) != besides], buckets).drop(BUCKET)
 
 
-def all_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Every stored version; an absent table is empty."""
-    schema = T.StructType([*VECTOR_ROW.fields, T.StructField(VERSION, T.LongType())])
-    try:
-        return spark.read.schema(schema).parquet(root)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-        return spark.createDataFrame([], schema)
+def buckets_of(articles: DataFrame) -> list[int]:
+    """Buckets that rows with a URL fall into: at most ``BUCKETS`` numbers."""
+    url = text.or_none(F.col("url"))
+    found = articles.where(url.isNotNull()).select(bucket_of(F.col("url"), url).alias(BUCKET)).distinct()
+    return [r[BUCKET] for r in found.collect()]
 
 
 def newest_versions(points: DataFrame, name: str = "superseded") -> DataFrame:
@@ -91,6 +141,30 @@ def newest_versions(points: DataFrame, name: str = "superseded") -> DataFrame:
     return points.join(old, stale, "left_anti")
 
 
-def compact(spark: SparkSession, root: str, target: str) -> None:
-    """Rewrite the current rows as version 0 of a new table."""
-    upsert(newest_versions(all_versions(spark, root)).drop(VERSION), target, 0)
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """Current rows of the table. A single folder, as after a compaction, holds nothing superseded."""
+    live = list(commits.state(spark, root).folders.values())
+    rows = _rows(spark, root, live).drop(BUCKET)
+    return rows if len(live) < 2 else newest_versions(rows)
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Merge all folders into one that holds the current rows, and swap them in one commit.
+
+    Readers and writers go on meanwhile: what is committed in between stays beside the merged folder.
+    """
+    live = list(commits.state(spark, root).folders.values())
+    if len(live) < 2:
+        return
+    merged = newest_versions(_rows(spark, root, live).drop(BUCKET)).drop(VERSION)
+    folder, buckets = _write(merged, root)
+    commits.replace(spark, root, live, folder, buckets)
+
+
+def keep_few_folders(spark: SparkSession, root: str, most: int = MOST_FOLDERS) -> None:
+    """Compact once more than ``most`` folders are live; one that lost to another writer is left to the next batch."""
+    if len(commits.state(spark, root).folders) > most:
+        try:
+            compact(spark, root)
+        except commits.Conflict:
+            pass

@@ -15,7 +15,7 @@ from newslake.operators.embed import HashedWords, with_vectors
 from newslake.plans import stand_ins as si
 from newslake.schemas import SILVER_TRADE
 from newslake.session import scratch_path
-from newslake.sources import lake
+from newslake.sources import commits, lake
 
 DIMENSION = 256
 
@@ -24,13 +24,13 @@ _tables: dict[str, DataFrame] = {}
 
 
 def _once(
-    spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None], mark: str = ""
+    spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None], mark: str = "_SUCCESS"
 ) -> str:
     """Path of a derived table; built again if its folder is gone."""
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key in _built:
         try:
-            spark.read.text(f"{_built[key]}{mark}/_SUCCESS")
+            spark.read.text(f"{_built[key]}/{mark}")
             return _built[key]
         except AnalysisException:
             del _built[key]
@@ -86,9 +86,9 @@ def vector_root(spark: SparkSession, sf_dir: str) -> str:
         embedded = with_vectors(unique, HashedWords(DIMENSION))
         vectors.upsert(vectors.article_points(embedded, si.anchor().cast("string")), path, 0)
 
-    return _once(spark, sf_dir, "vectors", build, "/version=0")
+    return _once(spark, sf_dir, "vectors", build, f"{commits.LOG}/{commits.file_name(0)}")
 
 
 def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     si.use_utc(spark)
-    return vectors.all_versions(spark, vector_root(spark, sf_dir)).drop(vectors.VERSION)
+    return vectors.current(spark, vector_root(spark, sf_dir)).drop(vectors.VERSION)

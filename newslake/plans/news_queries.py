@@ -147,28 +147,28 @@ FROM refined
 
 
 def keyed_article_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the messages. The breaking feed has no page per article, so its
+    """Whole articles as keyed messages. The breaking feed has no page per article, so its
     key is title, clock and place on the page crawled in that hour."""
     a = si.raw_articles(spark, sf_dir).withColumn("at", times.parse_time(F.col("crawled_at")))
-    a = a.withColumn("page", F.date_trunc("hour", "at")).drop("content")
+    a = a.withColumn("page", F.date_trunc("hour", "at"))
     a = numbered(a, ["page", "source", "news_type"], ["doc_id"], "place")
     clock = F.date_format("at", "HH:mm")
     breaking = F.coalesce(F.col("news_type") == "breaking", F.lit(False))
     link = F.when(~breaking, F.col("link"))
     key = publish.article_key(link, F.col("title"), clock, F.col("place"))
-    fields = publish.as_json(a, "title", "link", "content_length", "source", "news_type")
+    fields = publish.as_json(a, "title", "link", "published_at", "content", "content_length", "crawled_at", "source", "news_type")
     return a.select("doc_id", key.alias("key"), fields.alias("value"))
 
 
 KEYED_SQL = si.with_ctes(
-    """
+    f"""
 SELECT doc_id,
        CASE WHEN news_type IS DISTINCT FROM 'breaking' AND link IS NOT NULL THEN link
             ELSE title || '_' || strftime(crawled_ts, '%H:%M') || '_'
                  || row_number() OVER (PARTITION BY date_trunc('hour', crawled_ts), source,
                                        news_type ORDER BY doc_id) END AS key,
-       to_json({'title': title, 'link': link, 'content_length': length(content),
-                'source': source, 'news_type': news_type})::VARCHAR AS value
+       to_json({{'title': title, 'link': link, 'published_at': published_at, 'content': content, 'content_length': length(content),
+                'crawled_at': strftime(crawled_ts, {_ISO}), 'source': source, 'news_type': news_type}})::VARCHAR AS value
 FROM doc
 """,
     si.DOC,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslake.functions import text
 from newslake.operators import embed, news, publish, vectors
 from newslake.plans import lakes
 from newslake.plans import stand_ins as si
@@ -72,7 +73,11 @@ FROM refined
 
 
 def stream_embed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vector table after all micro-batches: one whole article per id."""
+    """Vector table after all micro-batches: one whole article per id.
+
+    Which of several articles with one URL arrives first is up to the stream, so each stored row is compared with all
+    articles sent, and its vector with that of its own text.
+    """
     refined = news.refine(si.spread_articles(spark, sf_dir), "doc_id", anchor=si.anchor())
     sent = publish.refined_messages(refined, "doc_id")
     topic = topic_files(spark, sent, "doc_id", "refined-topic")
@@ -83,12 +88,19 @@ def stream_embed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         embed.HashedWords(lakes.DIMENSION), lakes.DIMENSION, bounded=True,
     )
     job.awaitTermination()
-    table = vectors.newest_versions(vectors.all_versions(spark, f"{root}/vectors"))
-    return table.select("id", "url", F.size("vector").alias("dimension"))
+    table = vectors.current(spark, f"{root}/vectors")
+    url = F.coalesce(text.article_url(F.col("link"), F.lit(None).cast("string")), F.lit(""))
+    known = refined.select(text.article_id(url, F.col("content")).alias("of_id"), F.col("title").alias("of_title"), F.col("content").alias("of_content"))
+    same = (F.col("id") == F.col("of_id")) & F.col("title").eqNullSafe(F.col("of_title")) & (F.col("content") == F.col("of_content"))
+    again = embed.with_vectors(table.withColumnRenamed("vector", "stored"), embed.HashedWords(lakes.DIMENSION))
+    checked = again.join(known.distinct(), same, "left")
+    return checked.select(
+        "id", "url", F.size("stored").alias("dimension"), F.col("of_id").isNotNull().alias("was_sent"), (F.col("stored") == F.col("vector")).alias("vector_fits")
+    )
 
 
 STREAM_EMBED_SQL = si.with_ctes(
-    f"SELECT id, url, {lakes.DIMENSION} AS dimension FROM article", *_ARTICLE_CTES
+    f"SELECT id, url, {lakes.DIMENSION} AS dimension, true AS was_sent, true AS vector_fits FROM article", *_ARTICLE_CTES
 )
 
 QUERIES = {

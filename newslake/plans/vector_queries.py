@@ -259,13 +259,12 @@ JOIN article USING (id) GROUP BY question_id
 
 
 def context_or_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits below 0.5 do not count here, so some questions have none; questions
-    that the embedder refuses cannot be searched."""
+    """Every question with its context; those that the embedder refuses cannot be searched and say so."""
     asked = si.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
     questions = embed.with_vectors(asked, Refusing(DIMENSION), "text", _NO_WAIT)
     searched = questions.where("error IS NULL")
     table = lakes.vector_table(spark, sf_dir)
-    hits = search.search(searched, table, search.ASK_LIMIT, DIMENSION).where("score >= 0.5")
+    hits = search.search(searched, table, search.ASK_LIMIT, DIMENSION)
     return retrieval.context_or_default(questions, retrieval.context(hits))
 
 
@@ -279,7 +278,7 @@ FROM benchmark LEFT JOIN (
          count(*) AS n_hits
   FROM hits JOIN article USING (id) JOIN (SELECT item_id, text FROM benchmark) AS b
     ON b.item_id = question_id
-  WHERE rank <= 3 AND score >= 0.5 AND b.text NOT LIKE '%{REFUSED}%' GROUP BY question_id)
+  WHERE rank <= 3 AND b.text NOT LIKE '%{REFUSED}%' GROUP BY question_id)
 ON question_id = item_id
 """,
     *_SEARCH_CTES,
@@ -327,34 +326,51 @@ GROUP BY conv_id, page
 """
 
 
+def _fingerprint(vector: str = "vector"):
+    """What a comparison shows of a vector: its non-zero components, and a sum that weighs each by its place."""
+    placed = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    total = F.aggregate(placed, F.lit(0.0), lambda a, x: a + x)
+    return F.size(F.filter(vector, lambda x: x != 0)).alias("n_slots"), F.round(total, 4).alias("weighed")
+
+
+_FINGERPRINT_SQL = "count(*)::INTEGER AS n_slots, round(sum((slot + 1) * x), 4) AS weighed"
+
+
 def vector_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All articles as version 0, those of labelled documents again as version 1."""
+    """All articles by one writer, those of labelled documents again by another, both as their batch 0, and one of these batches twice."""
     a = si.raw_articles(spark, sf_dir).withColumn("url", F.coalesce("link", F.lit("")))
-    unique = dedup.one_per_id(a, "doc_id").withColumn(
-        "vector", F.array(F.col("doc_id").cast("float"))
-    )
+    unique = dedup.one_per_id(a, "doc_id")
     root = scratch_path(spark, "upsert")
     stored_at = si.anchor().cast("string")
-    vectors.upsert(vectors.article_points(unique, stored_at), root, 0)
+
+    def store(articles: DataFrame, writer: str) -> None:
+        embedded = embed.with_vectors(articles, embed.HashedWords(DIMENSION), "title")
+        vectors.upsert(vectors.article_points(embedded, stored_at), root, 0, writer)
+
+    store(unique, "batch")
     labelled = si.table(spark, sf_dir, "labels").select("doc_id").distinct()
-    again = unique.join(labelled, "doc_id", "left_semi").withColumn(
-        "title", F.concat(F.lit("updated: "), F.col("title"))
-    )
-    vectors.upsert(vectors.article_points(again, stored_at), root, 1)
-    now = vectors.newest_versions(vectors.all_versions(spark, root))
-    return now.select("id", "title", "url", "version")
+    again = unique.join(labelled, "doc_id", "left_semi").withColumn("title", F.concat(F.lit("updated: "), F.col("title")))
+    for _ in range(2):  # the second time replaces the first
+        store(again, "stream")
+    now = vectors.current(spark, root)
+    return now.select("id", "title", "content", "url", "version", *_fingerprint())
 
 
 UPSERT_SQL = si.with_ctes(
-    """
-SELECT id, CASE WHEN is_new THEN 'updated: ' || title ELSE title END AS title, url,
-       CASE WHEN is_new THEN 1 ELSE 0 END::BIGINT AS version
-FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS is_new
-      FROM (SELECT doc_id, title, coalesce(link, '') AS url, md5(coalesce(link, content)) AS id,
-                   row_number() OVER (PARTITION BY coalesce(link, content) ORDER BY doc_id) AS rn
-            FROM doc) WHERE rn = 1)
+    f"""
+SELECT id, title, content, url, version, coalesce(n_slots, 0) AS n_slots, coalesce(weighed, 0.0) AS weighed
+FROM stored LEFT JOIN (SELECT key, {_FINGERPRINT_SQL} FROM sv GROUP BY key) ON key = id
 """,
     si.DOC,
+    """
+stored AS (
+  SELECT id, CASE WHEN is_new THEN 'updated: ' || title ELSE title END AS title, content, url,
+         CASE WHEN is_new THEN 1 ELSE 0 END::BIGINT AS version
+  FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS is_new
+        FROM (SELECT doc_id, title, content, coalesce(link, '') AS url, md5(coalesce(link, content)) AS id,
+                     row_number() OVER (PARTITION BY coalesce(link, content) ORDER BY doc_id) AS rn
+              FROM doc) WHERE rn = 1))""",
+    _vectors_cte("sv", "stored", "id", "title"),
 )
 
 
@@ -444,7 +460,7 @@ def batch_vector_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, lakes.refined_root(spark, sf_dir), root, 0, embed.HashedWords(DIMENSION),
         si.anchor().cast("string"),
     )
-    table = vectors.newest_versions(vectors.all_versions(spark, root))
+    table = vectors.current(spark, root)
     return table.select(
         "id", "url", "chunk_index", F.length("content").alias("n_chars"),
         F.size("vector").alias("dimension"),

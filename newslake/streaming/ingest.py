@@ -12,10 +12,12 @@ from newslake.functions import text, times
 from newslake.operators import chunk, decode, dedup, embed, metrics, news, publish, vectors
 from newslake.schemas import REFINED_MESSAGE
 from newslake.session import settle
-from newslake.sources import lake
+from newslake.sources import commits, lake
 from newslake.sources.messages import DEAD_LETTER_TOPIC
 from newslake.streaming.runs import each_batch, send
 
+BATCH_WRITER, STREAM_WRITER = "batch", "stream"
+
 
 def new_articles(loaded: DataFrame, stored: DataFrame, *order: str) -> DataFrame:
     """Articles to embed: with text, first of their id, URL not stored yet."""
@@ -48,13 +50,14 @@ def ingest(
     were stored. A chunk that cannot be embedded fails the run, which is then
     repeated as a whole; what it stored before is replaced, not doubled.
     """
-    others = vectors.all_versions(spark, root).where(F.col(vectors.VERSION) != version)
     articles = loaded.withColumn("url", F.coalesce("link", F.lit("")))
-    fresh = new_articles(articles, others.select("url"), *order)
+    unique = settle(dedup.one_per_id(news.with_content(articles), *order), "unique")
+    others = vectors.all_versions(spark, root, vectors.buckets_of(unique), (BATCH_WRITER, version))
+    fresh = dedup.not_stored_batch(unique, others.select("url"))
     pieces = settle(fresh.withColumn("_chunks", chunker(F.col("content"))), "pieces")
     rows = chunk.chunk_rows(pieces, F.col("_chunks")).drop("_chunks")
     done = embed.with_vectors(rows, embedder).withColumn("vector", _vector_or_fail())
-    vectors.upsert(vectors.chunk_points(done, ingested_at), root, version)
+    vectors.upsert(vectors.chunk_points(done, ingested_at), root, version, BATCH_WRITER)
     stored = pieces.select(F.size("_chunks").alias("n_chunks"))
     return metrics.ingest_metrics(articles, stored, path)
 
@@ -93,17 +96,18 @@ def write_vectors(
     What fails goes to the dead letters and does not stop the batch.
     """
     spark = batch.sparkSession
+    if commits.state(spark, root).committed(STREAM_WRITER, batch_id):
+        return  # a replay: the commit is the last thing a batch does
     decoded = decode.valid_only(batch, REFINED_MESSAGE, "arrived_at", "value")
     url = text.article_url(F.col("link"), F.col("url"))
     articles = decoded.withColumn("url", url)
-    # A replayed batch must not count its own rows as stored.
-    stored = vectors.all_versions(spark, root).where(F.col(vectors.VERSION) != batch_id)
-    fresh = new_articles(articles, stored.select("url"), "arrived_at", "value")
+    unique = settle(dedup.one_per_id(news.with_content(articles), "arrived_at", "value"), "unique")
+    stored = vectors.all_versions(spark, root, vectors.buckets_of(unique))
+    fresh = dedup.not_stored_batch(unique, stored.select("url"))
     done = settle(embed.with_vectors(fresh, embedder, waits=waits), "embedded")
     stored_at = times.iso(F.current_timestamp())
     points = vectors.article_points(done.where("error IS NULL"), stored_at)
     fitting, misfits = vectors.split_by_dimension(points, dimension)
-    vectors.upsert(fitting, root, batch_id)
 
     failed_at = F.unix_timestamp().cast("string")
     malformed = decode.quarantine(batch, REFINED_MESSAGE).withColumn("failed_at", failed_at)
@@ -119,6 +123,8 @@ def write_vectors(
     letters.write.mode("overwrite").parquet(lake.batch_path(f"{root}_dead_letter", batch_id))
     if servers:
         send(letters.select(publish.as_json(letters).alias("value")), DEAD_LETTER_TOPIC, servers)
+    vectors.upsert(fitting, root, batch_id, STREAM_WRITER)
+    vectors.keep_few_folders(spark, root)
 
 
 def start(

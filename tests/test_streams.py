@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslake.operators import embed, trades, vectors
 from newslake.schemas import REFINED_ARTICLE, SILVER_TRADE
-from newslake.sources import lake, messages
+from newslake.sources import commits, lake, messages
 from newslake.streaming import ingest, medallion, refine
 
 from tests.test_trades import envelope
@@ -112,7 +112,7 @@ def test_embedding_stream(spark, folder):
     put(topic, "c", message("u5", "wide"))
     kwargs = {"embedder": Sizes(), "dimension": 2, "waits": (0, 0, 0)}
     run(ingest.start, spark, topic, root, f"{root}_checkpoint", **kwargs)
-    table = vectors.newest_versions(vectors.all_versions(spark, root))
+    table = vectors.current(spark, root)
     rows = {(r.url, r.content) for r in table.collect()}
     assert rows == {("u1", "one"), ("", "no link"), ("u4", "linked")} or rows == {
         ("u1", "copy"), ("", "no link"), ("u4", "linked")}
@@ -120,6 +120,27 @@ def test_embedding_stream(spark, folder):
     assert errors == sorted([embed.GAVE_UP, "malformed JSON", vectors.WRONG_SIZE])
 
 
+def test_stream_and_batch_share_a_table(spark, folder, monkeypatch):
+    """Batch run 0 and stream batch 0 both survive, URLs are checked across writers, and folders stay few."""
+    monkeypatch.setattr(vectors.keep_few_folders, "__defaults__", (2,))
+    topic, root = folder("topic"), folder("shared")
+    loaded = spark.createDataFrame([("t", "from batch", "u1", "s"), ("t", "both", "u2", "s")], "title string, content string, link string, source string")
+    loaded = loaded.withColumn("published_at", F.lit("2026-01-27 15:10:00").cast("timestamp"))
+    ingest.ingest(spark, loaded, root, 0, embed.HashedWords(2), F.lit("now"), ["published_at", "title", "content"], path="p")
+    put(topic, "a", message("u2", "both"), message("u3", "from stream"))
+    put(topic, "b", message("u3", "again"), message("u4", "later"))
+    put(topic, "c", message("u5", "last"))
+    kwargs = {"embedder": Sizes(), "dimension": 2, "waits": (0, 0, 0)}
+    run(ingest.start, spark, topic, root, f"{root}_checkpoint", **kwargs)
+    stored = sorted(r.content for r in vectors.current(spark, root).collect())
+    assert stored == ["both", "from batch", "from stream", "last", "later"]
+    state = commits.state(spark, root)
+    assert state.done == {"batch": 0, "stream": 2} and len(state.folders) <= 2
+    rows = spark.createDataFrame([(message("u9", "not twice"),)], "value string").withColumn("arrived_at", F.current_timestamp())
+    ingest.write_vectors(rows, 2, root, Sizes(), 2)  # a replay after the commit does nothing
+    assert commits.state(spark, root) == state
+
+
 def test_ingest_twice_stores_nothing_new(spark, folder):
     root = folder("ingest")
     loaded = spark.createDataFrame(
@@ -141,7 +162,7 @@ def test_ingest_twice_stores_nothing_new(spark, folder):
     again = go(1)
     assert (again["articles_processed"], again["chunks_uploaded"]) == (0, 0)
     assert again["articles_skipped"] == 3
-    table = vectors.newest_versions(vectors.all_versions(spark, root))
+    table = vectors.current(spark, root)
     assert sorted(r.content for r in table.collect()) == ["dup", "y"]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newslake.functions.vectors import cosine
 from newslake.operators import dedup, embed, retrieval, search, vectors
+from newslake.sources import commits
 
 
 @pytest.fixture(scope="module")
@@ -47,12 +48,28 @@ def test_nearest_is_exact(spark, corpus, k, block_bytes):
 
 def test_nearest_keeps_k_per_task_before_the_merge(spark, corpus):
     _, table = corpus
-    asked = spark.createDataFrame([(1, [1.0] * 8)], "question_id long, vector array<double>")
-    plan = search.nearest(asked, table, 3, 8)._jdf.queryExecution().executedPlan().toString()
+    block = spark.sparkContext.broadcast(([1], np.ones((1, 8))))
+    schema = "question_id long, id long, score double"
+    hits = search.block_hits(table, block, 3, 8, spark.createDataFrame([], schema).schema)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "WindowGroupLimit" in plan
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+def test_the_driver_holds_one_block_of_questions(spark, corpus, monkeypatch):
+    """Many small partitions of questions, blocks of three: no more than three are ever in the driver, and none is lost."""
+    points, table = corpus
+    rows = [(i, [float(x) for x in points[i]]) for i in range(14)]
+    asked = spark.createDataFrame(rows, "question_id long, vector array<double>").repartition(14)
+    held, real = [], search._matrix
+    monkeypatch.setattr(search, "_matrix", lambda v, d: (held.append(len(v)), real(v, d))[1])
+    hits = search.nearest(asked, table, 2, 8, 3 * 8 * 8).collect()
+    assert sorted(held) == [2, 3, 3, 3, 3]
+    got = {q: [h.id for h in sorted(hits, key=lambda h: h.rank) if h.question_id == q] for q in range(14)}
+    assert got == brute_force(points[:14], points, 2)
+    assert search.nearest(asked.limit(0), table, 2, 8).count() == 0
+
+
 def test_vectors_of_another_size_are_dead_letters(spark):
     points = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [1.0]), ("c", None)], "id string, vector array<double>"
@@ -156,18 +173,87 @@ def points(spark, *rows):
     return vectors.article_points(frame, F.lit("now"))
 
 
+def titles(spark, root):
+    return sorted(r.title for r in vectors.current(spark, root).collect())
+
+
 def test_upsert_keeps_one_row_per_id(spark, folder):
     root = folder("upsert")
-    assert vectors.all_versions(spark, root).count() == 0
+    assert vectors.current(spark, root).count() == 0
     vectors.upsert(points(spark, ("u", "old"), ("v", "only")), root, 0)
     vectors.upsert(points(spark, ("u", "new"), ("w", "added")), root, 1)
     vectors.upsert(points(spark, ("u", "new"), ("w", "added")), root, 1)  # replay
-    now = vectors.newest_versions(vectors.all_versions(spark, root))
-    assert sorted(r.title for r in now.collect()) == ["added", "new", "only"]
-    compacted = folder("compacted")
-    vectors.compact(spark, root, compacted)
-    again = vectors.all_versions(spark, compacted)
-    assert sorted(r.title for r in again.collect()) == ["added", "new", "only"]
+    assert titles(spark, root) == ["added", "new", "only"]
+    vectors.upsert(points(spark, ("u", "older"), ("v", "only")), root, 0)  # a late replay stays in its place
+    assert titles(spark, root) == ["added", "new", "only"]
+    vectors.compact(spark, root)
+    assert len(commits.state(spark, root).folders) == 1 and titles(spark, root) == ["added", "new", "only"]
+    assert commits.delete_unreferenced(spark, root, vectors.DATA) == 4 and titles(spark, root) == ["added", "new", "only"]
+
+
+def test_two_writers_with_the_same_batch_number(spark, folder):
+    root = folder("writers")
+    vectors.upsert(points(spark, ("u", "batch"), ("v", "batch only")), root, 0, "batch")
+    vectors.upsert(points(spark, ("u", "stream"), ("w", "stream only")), root, 0, "stream")
+    assert titles(spark, root) == ["batch only", "stream", "stream only"]
+    now = commits.state(spark, root)
+    assert now.done == {"batch": 0, "stream": 0} and now.committed("stream", 0) and not now.committed("stream", 1)
+
+
+def test_a_number_is_given_once(spark, folder):
+    """Of two commits that saw the same log, one gets the number and the other the next; both survive."""
+    root = folder("race")
+    vectors.upsert(points(spark, ("u", "a")), root, 0, "first")
+    seen = commits.state(spark, root)
+    stale = [seen, None]
+    real = commits.state
+
+    def late(spark, root):  # the second writer read the log before the first one committed
+        return stale.pop(0) if stale[0] is not None else real(spark, root)
+
+    vectors.upsert(points(spark, ("v", "b")), root, 0, "second")
+    folder_name, buckets = vectors._write(points(spark, ("w", "c")), root)
+    commits.state = late
+    try:
+        assert commits.commit(spark, root, folder_name, "third", 0, buckets) == 2
+    finally:
+        commits.state = real
+    assert titles(spark, root) == ["a", "b", "c"]
+
+
+def test_folders_without_a_commit_are_not_read(spark, folder):
+    root = folder("halfway")
+    vectors.upsert(points(spark, ("u", "a")), root, 0)
+    vectors._write(points(spark, ("u", "never committed")), root)
+    assert titles(spark, root) == ["a"] and len(commits.unreferenced(spark, root, vectors.DATA)) == 1
+
+
+def test_compaction_keeps_what_is_committed_meanwhile(spark, folder):
+    root = folder("compaction")
+    vectors.upsert(points(spark, ("u", "a")), root, 0)
+    vectors.upsert(points(spark, ("u", "b"), ("x", "x")), root, 1)
+    live = list(commits.state(spark, root).folders.values())
+    merged, buckets = vectors._write(vectors.current(spark, root).drop(vectors.VERSION), root)
+    vectors.upsert(points(spark, ("u", "c")), root, 2)
+    commits.replace(spark, root, live, merged, buckets)
+    assert titles(spark, root) == ["c", "x"]
+    vectors.upsert(points(spark, ("u", "d")), root, 2)
+    with pytest.raises(commits.Conflict):
+        commits.replace(spark, root, live, merged, buckets)
+    vectors.keep_few_folders(spark, root, 1)
+    assert titles(spark, root) == ["d", "x"] and len(commits.state(spark, root).folders) == 1
+
+
+def test_a_batch_of_one_url_reads_one_bucket(spark, folder):
+    root = folder("buckets")
+    vectors.upsert(points(spark, *[(f"u{i}", "t") for i in range(200)]), root, 0)
+    wanted = vectors.buckets_of(points(spark, ("u7", "t"), ("", "no url")))
+    assert len(wanted) == 1
+    rows = vectors.all_versions(spark, root, wanted)
+    files = rows.inputFiles()
+    assert files and all(f"/{vectors.BUCKET}={wanted[0]}/" in f for f in files)
+    assert rows.where("url = 'u7'").count() == 1 and rows.count() < 200
+    assert vectors.all_versions(spark, root, wanted, ("batch", 0)).count() == 0
 
 
 def test_context_and_references(spark):
