@@ -29,8 +29,12 @@ def parse(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def valid_only(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     """Decode and drop malformed records; the rest of the batch survives."""
-    parsed = parse(df, schema).where(~F.col("malformed"))
-    return parsed.select(*keep, *[f"data.{f}" for f in schema.fieldNames()])
+    return good(parse(df, schema), schema, *keep)
+
+
+def good(parsed: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+    """The records of a parsed frame that are whole, field by field."""
+    return parsed.where(~F.col("malformed")).select(*keep, *[f"data.{f}" for f in schema.fieldNames()])
 
 
 def fixed_schema(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
@@ -48,12 +52,13 @@ def raw_record(value: Column) -> Column:
 
 def quarantine(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     """The malformed records, wrapped for the dead-letter table."""
-    return (
-        parse(df, schema)
-        .where("malformed")
-        .select(*keep, raw_record(F.col("value")).alias("original_data"),
-                F.lit(MALFORMED).alias("error_msg"))
-    )
+    return bad(parse(df, schema), *keep)
+
+
+def bad(parsed: DataFrame, *keep: str) -> DataFrame:
+    """The malformed records of a parsed frame, wrapped."""
+    wrapped = raw_record(F.col("value")).alias("original_data")
+    return parsed.where("malformed").select(*keep, wrapped, F.lit(MALFORMED).alias("error_msg"))
 
 
 def backfill(df: DataFrame, schema: T.StructType = RAW_ARTICLE) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newslake.functions import times
 from newslake.operators.decode import MALFORMED, parse, raw_record
 from newslake.schemas import PARTITIONS, TRADE_ENVELOPE
-from newslake.sources.lake import newest_hour, part_filter
+from newslake.sources.lake import part_filter
 
 # Labels and defaults of the trade feed. The key default and the
 # envelope default differ on purpose.
@@ -122,13 +122,12 @@ def since(trades: DataFrame, moment, hours: int = 1, column: str = "trade_time")
     return trades.where(F.col(column) >= bound)
 
 
-def recent(table: DataFrame, hours: int = 1) -> DataFrame:
+def recent(table: DataFrame, newest: tuple[int, ...] | None, hours: int = 1) -> DataFrame:
     """Trades of the last hours of a silver lake table.
 
-    "Now" is the newest trade, looked up in the newest partition; only partitions
+    "Now" is the newest trade, looked up in the ``newest`` partition (``lake.newest_hour``); only partitions
     of the last hours are read. If the newest one holds no times, all are asked.
     """
-    newest = newest_hour(table)
     moment = None if newest is None else newest_time(table.where(part_filter(*newest)))
     moment = moment or newest_time(table)
     if moment is None:

@@ -74,6 +74,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tables[root]
 
 
+def newest_trade_hour(spark: SparkSession, sf_dir: str) -> tuple[int, ...] | None:
+    return lake.newest_hour(spark, silver_root(spark, sf_dir))
+
+
 def vector_root(spark: SparkSession, sf_dir: str) -> str:
     """Vector table of the refined articles, one row per article."""
 

@@ -113,11 +113,9 @@ FULL_SQL = si.with_ctes(
 def partition_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is there refined news for each hour that has trades?"""
     si.use_utc(spark)
-    refined = lake.scan(spark, lakes.refined_root(spark, sf_dir), REFINED_ARTICLE)
-    wanted = lake.filled_hours(lakes.silver(spark, sf_dir))
-    filled = lake.filled_hours(refined).withColumn("_filled", F.lit(True))
-    joined = wanted.join(filled, PARTITIONS, "left")
-    return joined.select(*PARTITIONS, F.col("_filled").isNotNull().alias("is_filled"))
+    silver, refined = lakes.silver_root(spark, sf_dir), lakes.refined_root(spark, sf_dir)
+    rows = [(*part, lake.slice_exists(spark, refined, *part)) for part in lake.hours(spark, silver)]
+    return spark.createDataFrame(rows, ", ".join([*(f"{p} int" for p in PARTITIONS), "is_filled boolean"]))
 
 
 EXISTS_SQL = si.with_ctes(

@@ -241,7 +241,7 @@ FROM (SELECT k, {si.parts_of("trade_time")} FROM silver) GROUP BY {_PARTS}
 def recent_avg_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean price of the last hour of data."""
     t = lakes.silver(spark, sf_dir)
-    return trades.average_price(trades.recent(t))
+    return trades.average_price(trades.recent(t, lakes.newest_trade_hour(spark, sf_dir)))
 
 
 RECENT_SQL = si.with_ctes(

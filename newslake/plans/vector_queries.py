@@ -287,7 +287,7 @@ ON question_id = item_id
 
 def market_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lakes.silver(spark, sf_dir)
-    recent = trade_ops.average_price(trade_ops.recent(t))
+    recent = trade_ops.average_price(trade_ops.recent(t, lakes.newest_trade_hour(spark, sf_dir)))
     last = trade_ops.latest_price(t).select("latest_price")
     total = trade_ops.volume(t).select("quantity")
     stats = recent.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from newslake.schemas import PARTITIONS, REFINED_ARTICLE, SILVER_TRADE
 from newslake.session import setting
+from newslake.sources.files import Files
 
 BATCH = "batch"
 WIDTHS = dict(zip(PARTITIONS, (4, 2, 2, 2)))
@@ -124,26 +125,30 @@ def slice_path(
 
 
 def slice_exists(spark: SparkSession, root: str, year: int, month: int, day: int, hour: int) -> bool:
-    """Whether the partition holds data; a failing probe counts as yes, since the
+    """Whether the partition holds data, by one listing of its folder; a failing probe counts as yes, since the
     ingest that follows will report the problem."""
     try:
-        part = {"year": year, "month": month, "day": day, "hour": hour}
-        return not scan_part(spark, root, REFINED_ARTICLE, **part).select("hour").isEmpty()
+        return bool(Files(spark, slice_folder(root, year, month, day, hour)).names())
     except Exception:
         return True
 
 
-def filled_hours(table: DataFrame) -> DataFrame:
-    """Distinct partitions of a lake table; reads no data columns."""
-    return table.select(*PARTITIONS).distinct()
+def hours(spark: SparkSession, root: str, above: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
+    """Partitions of a lake table that hold data, newest first, by stepping down its folders. Only folders are listed, each when it is reached."""
+    found = Files(spark, "/".join([root, *(f"{p}={v:0{WIDTHS[p]}d}" for p, v in zip(PARTITIONS, above))])).names()
+    if len(above) == len(PARTITIONS):
+        if found:
+            yield above
+        return
+    prefix = f"{PARTITIONS[len(above)]}="
+    values = sorted((int(n[len(prefix):]) for n in found if n.startswith(prefix) and n[len(prefix):].isdigit()), reverse=True)
+    for value in values:
+        yield from hours(spark, root, (*above, value))
 
 
-def newest_hour(table: DataFrame) -> tuple[int, int, int, int] | None:
-    """Newest partition of a lake table, from the names of its files, which the
-    table has listed already; nothing is read."""
-    pattern = "/".join(rf"{p}=(\d+)" for p in PARTITIONS)
-    found = (re.search(pattern, name) for name in table.inputFiles())
-    return max((tuple(map(int, m.groups())) for m in found if m), default=None)
+def newest_hour(spark: SparkSession, root: str) -> tuple[int, ...] | None:
+    """Newest partition of a lake table; four listings, however many files it has."""
+    return next(hours(spark, root), None)
 
 
 def trades_view(spark: SparkSession, root: str, name: str = "trades") -> DataFrame:

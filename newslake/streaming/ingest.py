@@ -14,7 +14,7 @@ from newslake.schemas import REFINED_MESSAGE
 from newslake.session import settle
 from newslake.sources import commits, lake
 from newslake.sources.messages import DEAD_LETTER_TOPIC
-from newslake.streaming.runs import each_batch, send
+from newslake.streaming.runs import each_batch, kept, send
 
 BATCH_WRITER, STREAM_WRITER = "batch", "stream"
 
@@ -98,7 +98,13 @@ def write_vectors(
     spark = batch.sparkSession
     if commits.state(spark, root).committed(STREAM_WRITER, batch_id):
         return  # a replay: the commit is the last thing a batch does
-    decoded = decode.valid_only(batch, REFINED_MESSAGE, "arrived_at", "value")
+    with kept(decode.parse(batch, REFINED_MESSAGE)) as parsed:
+        _embed_parsed(parsed, batch_id, root, embedder, dimension, waits, servers)
+
+
+def _embed_parsed(parsed: DataFrame, batch_id: int, root: str, embedder: embed.Embedder, dimension: int, waits: Sequence[float] | None, servers: str | None) -> None:
+    spark = parsed.sparkSession
+    decoded = decode.good(parsed, REFINED_MESSAGE, "arrived_at", "value")
     url = text.article_url(F.col("link"), F.col("url"))
     articles = decoded.withColumn("url", url)
     unique = settle(dedup.one_per_id(news.with_content(articles), "arrived_at", "value"), "unique")
@@ -110,7 +116,7 @@ def write_vectors(
     fitting, misfits = vectors.split_by_dimension(points, dimension)
 
     failed_at = F.unix_timestamp().cast("string")
-    malformed = decode.quarantine(batch, REFINED_MESSAGE).withColumn("failed_at", failed_at)
+    malformed = decode.bad(parsed).withColumn("failed_at", failed_at)
     failed = done.where("error IS NOT NULL").select(
         F.col("value").alias("original_data"), F.col("error").alias("error_msg"),
         failed_at.alias("failed_at"),

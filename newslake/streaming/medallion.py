@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newslake.operators import trades
 from newslake.sources.lake import batch_path, write_hours
-from newslake.streaming.runs import each_batch
+from newslake.streaming.runs import each_batch, kept
 
 
 def layer_paths(root: str) -> dict[str, str]:
@@ -22,13 +22,13 @@ def write_layers(batch: DataFrame, batch_id: int, root: str) -> None:
     and so the same when the batch is replayed.
     """
     paths = layer_paths(root)
-    decoded = trades.decode_trades(batch)
     arrival = F.col("arrived_at")
-    write_hours(trades.bronze(decoded, anchor=arrival), paths["bronze"], batch_id)
-    write_hours(trades.silver(decoded, anchor=arrival), paths["silver"], batch_id)
     failed_at = F.unix_micros(arrival).cast("string")
-    bad = trades.rejected(decoded, failed_at)
-    bad.write.mode("overwrite").parquet(batch_path(paths["dead_letter"], batch_id))
+    with kept(trades.decode_trades(batch)) as decoded:
+        write_hours(trades.bronze(decoded, anchor=arrival), paths["bronze"], batch_id)
+        write_hours(trades.silver(decoded, anchor=arrival), paths["silver"], batch_id)
+        bad = trades.rejected(decoded, failed_at)
+        bad.write.mode("overwrite").parquet(batch_path(paths["dead_letter"], batch_id))
 
 
 def start(

@@ -10,7 +10,7 @@ from newslake.operators import decode, news, publish
 from newslake.schemas import RAW_ARTICLE
 from newslake.sources.lake import batch_path, write_hours
 from newslake.sources.messages import REFINED_TOPIC
-from newslake.streaming.runs import each_batch, send
+from newslake.streaming.runs import each_batch, kept, send
 
 
 def write_refined(
@@ -18,16 +18,15 @@ def write_refined(
 ) -> None:
     """One micro-batch to the lake, the dead letters, and the refined topic, or text
     files where there is no broker."""
-    raw = decode.valid_only(batch, RAW_ARTICLE, "arrived_at")
-    refined = news.refine(raw, anchor=F.col("arrived_at"))
-    write_hours(refined, f"{root}/refined", batch_id)
-    sent = publish.refined_messages(refined)
-    if servers:
-        send(sent, REFINED_TOPIC, servers)
-    else:
-        sent.write.mode("overwrite").text(batch_path(f"{root}/messages", batch_id))
-    bad = decode.quarantine(batch, RAW_ARTICLE)
-    bad.write.mode("overwrite").parquet(batch_path(f"{root}/dead_letter", batch_id))
+    with kept(decode.parse(batch, RAW_ARTICLE)) as parsed:
+        with kept(news.refine(decode.good(parsed, RAW_ARTICLE, "arrived_at"), anchor=F.col("arrived_at"))) as refined:
+            write_hours(refined, f"{root}/refined", batch_id)
+            sent = publish.refined_messages(refined)
+            if servers:
+                send(sent, REFINED_TOPIC, servers)
+            else:
+                sent.write.mode("overwrite").text(batch_path(f"{root}/messages", batch_id))
+        decode.bad(parsed).write.mode("overwrite").parquet(batch_path(f"{root}/dead_letter", batch_id))
 
 
 def start(

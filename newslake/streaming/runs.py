@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -11,6 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 TRIGGER = "5 minutes"
 
 
+@contextmanager
+def kept(decoded: DataFrame) -> Iterator[DataFrame]:
+    """A decoded batch on memory and disk while its several outputs are written, so that its JSON is parsed once."""
+    held = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def send(messages: DataFrame, topic: str, servers: str) -> None:
     """Publish ``value`` (and ``key``, if any) to a topic. Delivery is at least
     once: a replayed batch is sent again, and readers drop what they hold."""
@@ -28,17 +39,8 @@ def each_batch(
     """Run ``handle`` per micro-batch.
 
     ``bounded`` handles what is there, in batches capped by the source, including
-    the last part batch, and stops. The batch is kept on memory and disk while
-    its several outputs are written, so that it is decoded once.
+    the last part batch, and stops.
     """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            handle(kept, batch_id)
-        finally:
-            kept.unpersist()
-
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if bounded else {"processingTime": every}
     return writer.trigger(**trigger).start()

@@ -62,7 +62,7 @@ def test_a_full_slice_lists_its_own_folder_only(spark, refined_root):
     one = lake.scan_slice(spark, refined_root, year=2026, month=1, day=27, hour=0)
     listed = one.inputFiles()
     assert listed and all("/month=01/day=27/hour=00/" in name for name in listed)
-    assert lake.newest_hour(lake.scan(spark, refined_root, REFINED_ARTICLE)) == (2026, 2, 2, 3)
+    assert lake.newest_hour(spark, refined_root) == (2026, 2, 2, 3)
 
 
 def test_probe_and_missing_lake(spark, refined_root, folder):
@@ -154,7 +154,7 @@ def test_sql_answers_are_whole_and_in_order(spark, silver_root):
 
 
 def test_recent_reads_the_last_hours_only(spark, silver_root):
-    recent = trades.recent(lake.scan(spark, silver_root, SILVER_TRADE))
+    recent = trades.recent(lake.scan(spark, silver_root, SILVER_TRADE), lake.newest_hour(spark, silver_root))
     assert recent.count() == 4
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "day#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
