@@ -11,7 +11,7 @@ from newslake.plans import lakes
 from newslake.plans import stand_ins as si
 from newslake.plans.vector_queries import _ARTICLE_CTES
 from newslake.schemas import REFINED_ARTICLE, SILVER_TRADE
-from newslake.session import scratch_path
+from newslake.session import scratch_path, settle
 from newslake.sources import lake, messages
 from newslake.streaming import ingest, medallion, refine
 
@@ -93,6 +93,7 @@ def stream_embed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = refined.select(text.article_id(url, F.col("content")).alias("of_id"), F.col("title").alias("of_title"), F.col("content").alias("of_content"))
     same = (F.col("id") == F.col("of_id")) & F.col("title").eqNullSafe(F.col("of_title")) & (F.col("content") == F.col("of_content"))
     again = embed.with_vectors(table.withColumnRenamed("vector", "stored"), embed.HashedWords(lakes.DIMENSION))
+    again = settle(again.select("id", "title", "content", "url", "stored", "vector"), "embedded-again")
     checked = again.join(known.distinct(), same, "left")
     return checked.select(
         "id", "url", F.size("stored").alias("dimension"), F.col("of_id").isNotNull().alias("was_sent"), (F.col("stored") == F.col("vector")).alias("vector_fits")
