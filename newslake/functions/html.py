@@ -1,7 +1,8 @@
-"""HTML expressions over stored pages, built from regular expressions.
+"""HTML expressions over stored pages.
 
-All patterns run in linear time on the whole page. Blocks are found by class
-name fragments, as a crawler's CSS selectors do.
+A page is parsed once into arrays (``functions/markup.py``); these expressions choose from them. Blocks are found by
+class name fragments, as a crawler's CSS selectors do. Every expression takes the HTML or, to parse a page once for many
+fields, the ``Page`` of its parsed column.
 """
 
 from __future__ import annotations
@@ -9,139 +10,113 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.functions.once import computed_once
+from newslake.functions.markup import parsed
 from newslake.functions.text import or_none, strip
 
-# The entities that pages use.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&hellip;": "…",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&amp;": "&",
-}
-
-_OPEN, _CLOSE = "\x01", "\x02"
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-_PARAGRAPH_OPEN = r"(?i)<p(?:\s[^>]*)?>"
-_PARAGRAPH_END = (
-    r"(?i)</p\s*>|</?(?:div|article|section|main|nav|footer|header|aside|ul|ol|table|h[1-6])\b[^>]*>"
-)
-
-
-def unescape(text: Column) -> Column:
-    """Decode the named entities; ``&amp;`` last, so nothing is decoded twice."""
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
-def text_of(html: Column) -> Column:
-    """Visible text of a fragment: tags dropped, entities decoded, stripped."""
-    return strip(unescape(F.regexp_replace(html, r"(?s)<[^>]*>", "")))
-
-
-def visible(html: Column) -> Column:
-    """The page without scripts, styles, comments and the marks used below."""
-    return F.regexp_replace(F.translate(html, _OPEN + _CLOSE, ""), _HIDDEN, "")
-
-
-def paragraphs(html: Column) -> Column:
-    """Texts of the ``<p>`` elements, empty ones dropped.
-
-    A paragraph also ends where the next one or another block starts, since
-    pages leave ``</p>`` out. Starts and ends are marked, then all other tags and
-    the entities are resolved in one pass over the page, not per paragraph.
-    """
-    marked = F.regexp_replace(
-        F.regexp_replace(html, _PARAGRAPH_OPEN, _OPEN), _PARAGRAPH_END, _CLOSE
-    )
-    plain = unescape(F.regexp_replace(marked, r"(?s)<[^>]*>", ""))
-    found = F.regexp_extract_all(plain, F.lit(f"{_OPEN}([^{_OPEN}{_CLOSE}]*)"), F.lit(1))
-    return F.filter(F.transform(found, strip), lambda t: t != "")
-
 
 def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, inside a lambda too."""
+    """``use(value)`` with the value computed once, inside a lambda too. What ``use`` needs of the page is part of the
+    value, since a lambda may not call the parser."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _inside_first_div(fragment: Column) -> Column:
-    """Cut a fragment that starts right after ``<div ...>`` at its matching end.
+class Page:
+    """Expressions over the struct that ``markup.parsed`` made of a page."""
 
-    The tags are folded into (depth, closing tags seen); the closing tag that
-    brings the depth to zero marks the end.
-    """
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("closed"))
+    def __init__(self, page: Column):
+        self.page = page
 
-    def step(state: Column, tag: Column) -> Column:
-        closing = tag.startswith("</")
-        moved = F.struct(
-            F.when(closing, state["depth"] - 1).otherwise(state["depth"] + 1).alias("depth"),
-            F.when(closing, state["closed"] + 1).otherwise(state["closed"]).alias("closed"),
-        )
-        return F.when(state["depth"] == 0, state).otherwise(moved)
+    def elements(self, tag: str) -> Column:
+        return F.filter(self.page["elements"], lambda e: e["tag"] == tag)
 
-    def cut(end: Column) -> Column:
-        marked = F.regexp_replace(fragment, r"(?i)</div\b", _CLOSE)
-        inner = F.call_function("substring_index", marked, F.lit(_CLOSE), end["closed"])
-        whole = F.replace(inner, F.lit(_CLOSE), F.lit("</div"))
-        return F.when(end["depth"] == 0, whole).otherwise(fragment)
+    def text_of(self, element: Column) -> Column:
+        """Text inside an element, tags dropped, stripped; null without one."""
+        def inside(both: Column) -> Column:
+            e = both["element"]
+            text = F.array_join(F.slice(both["texts"], e["first"] + 1, e["last"] - e["first"]), "")
+            return F.when(e.isNotNull(), strip(text))
+        return _let(F.struct(element.alias("element"), self.page["texts"].alias("texts")), inside)
 
-    tags = F.regexp_extract_all(fragment, F.lit(r"(?i)(</?div)\b"), F.lit(1))
-    return _let(F.aggregate(tags, start, step), cut)
+    def divs_with_class(self, fragment: str) -> Column:
+        """The ``<div>`` elements whose class contains the fragment, a pattern."""
+        return F.filter(self.elements("div"), lambda e: F.coalesce(e["attributes"]["class"].rlike(f"(?i){fragment}"), F.lit(False)))
 
+    def class_text(self, fragment: str) -> Column:
+        return self.text_of(F.get(self.divs_with_class(fragment), F.lit(0)))
 
-def divs_with_class(html: Column, fragment: str) -> Column:
-    """Inner HTML of every ``<div>`` whose class contains the fragment."""
-    opening = rf'(?i)<div\b[^>]*\bclass\s*=\s*"[^"]*{fragment}[^"]*"[^>]*>'
-    pieces = F.split(html, opening)
-    return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _inside_first_div)
+    def body_text(self, container_class: str) -> Column:
+        """The paragraphs of all matching containers but the last, joined by a space."""
+        found = self.divs_with_class(container_class)
+        kept = F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))
+        ranges = F.transform(kept, lambda e: F.struct(e["first"].alias("first"), e["last"].alias("last")))
 
+        def paragraphs(both: Column) -> Column:
+            chosen = F.filter(both["paragraphs"], lambda p: F.exists(both["ranges"], lambda r: (p["at"] >= r["first"]) & (p["at"] < r["last"])))
+            return F.array_join(F.filter(F.transform(chosen, lambda p: strip(p["text"])), lambda t: t != ""), " ")
+        return _let(F.struct(ranges.alias("ranges"), self.page["paragraphs"].alias("paragraphs")), paragraphs)
 
-def with_body_text(pages: DataFrame, container_class: str, name: str = "content") -> DataFrame:
-    """Add the paragraphs of all matching containers but the last, joined by a
-    space.
+    def first_attribute(self, tag: str, name: str) -> Column:
+        """The attribute of the first element of a kind that has it; null if none or empty."""
+        return or_none(F.get(F.array_compact(F.transform(self.elements(tag), lambda e: e["attributes"][name])), F.lit(0)))
+
+    def first_link(self) -> Column:
+        return self.first_attribute("a", "href")
+
+    def language(self) -> Column:
+        return self.first_attribute("html", "lang")
+
+    def element_text(self, tag: str) -> Column:
+        return or_none(self.text_of(F.get(self.elements(tag), F.lit(0))))
+
+    def meta_contents(self, *names: str) -> Column:
+        """Stripped contents of ``<meta name|property|itemprop="...">`` of any of the names, in page order, empty ones dropped."""
+        def named(e: Column) -> Column:
+            keys = F.array(*(F.lower(strip(e["attributes"][k])) for k in ("name", "property", "itemprop")))
+            return F.coalesce(F.arrays_overlap(keys, F.array(*map(F.lit, names))), F.lit(False))
+        found = F.transform(F.filter(self.elements("meta"), named), lambda e: strip(e["attributes"]["content"]))
+        return F.filter(found, lambda t: t != "")
 
-    The steps are columns of their own, since each uses the one before twice.
-    """
-    steps = pages.withColumn("_visible", visible(F.col("html")))
-    steps = steps.withColumn("_containers", divs_with_class(F.col("_visible"), container_class))
-    kept = F.slice("_containers", F.lit(1), F.greatest(F.size("_containers") - 1, F.lit(0)))
-    steps = steps.withColumn("_body", F.array_join(kept, _CLOSE))
-    text = F.array_join(paragraphs(F.col("_body")), " ")
-    return computed_once(steps, name, text).select(*pages.columns, name)
+    def meta_content(self, *names: str) -> Column:
+        return F.get(self.meta_contents(*names), F.lit(0))
+
+    def meta_list(self, *names: str) -> Column:
+        """Contents that list several values, split at commas; each value once."""
+        parts = F.transform(F.flatten(F.transform(self.meta_contents(*names), lambda t: F.split(t, ","))), strip)
+        return F.array_distinct(F.filter(parts, lambda t: t != ""))
+
+
+def with_page(pages: DataFrame, name: str = "_page") -> DataFrame:
+    """Add the parsed page as a column, for ``Page``."""
+    return pages.withColumn(name, parsed(F.col("html")))
+
+
+def with_body_text(pages: DataFrame, container_class: str, name: str = "content") -> DataFrame:
+    """Add the paragraphs of all matching containers but the last, joined by a space; empty without any."""
+    text = F.coalesce(Page(F.col("_page")).body_text(container_class), F.lit(""))
+    return with_page(pages).withColumn(name, text).select(*pages.columns, name)
 
 
 def class_text(html: Column, fragment: str) -> Column:
     """Text of the first ``<div>`` with the class fragment; null if none."""
-    return F.get(F.transform(divs_with_class(html, fragment), text_of), F.lit(0))
+    return Page(parsed(html)).class_text(fragment)
 
 
 def first_link(html: Column) -> Column:
-    return or_none(F.regexp_extract(html, r'(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"', 1))
+    return Page(parsed(html)).first_link()
 
 
 def element_text(html: Column, tag: str) -> Column:
     """Text of the first element of a kind; null if absent or empty."""
-    return or_none(text_of(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)))
+    return Page(parsed(html)).element_text(tag)
 
 
 def meta_content(html: Column, name: str) -> Column:
-    """``content`` of ``<meta name|property="...">``; null if absent."""
-    pattern = rf'(?is)<meta\b[^>]*\b(?:name|property)\s*=\s*"{name}"[^>]*\bcontent\s*=\s*"([^"]*)"'
-    return or_none(strip(unescape(F.regexp_extract(html, pattern, 1))))
+    """``content`` of the first ``<meta>`` of a name that has one; null if absent."""
+    return Page(parsed(html)).meta_content(name)
 
 
 def language(html: Column) -> Column:
-    return or_none(F.regexp_extract(html, r'(?is)<html\b[^>]*\blang\s*=\s*"([^"]*)"', 1))
+    return Page(parsed(html)).language()
 
 
 def host(url: Column) -> Column:

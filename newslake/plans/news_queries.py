@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions import html, text, times
-from newslake.operators import chunk, decode, dedup, metrics, news, publish, trades
+from newslake.operators import chunk, decode, dedup, main_text, metrics, news, publish, trades
 from newslake.operators.position import numbered
 from newslake.operators.vectors import with_payload
 from newslake.plans import lakes
@@ -531,11 +531,18 @@ def html_paragraph_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "content")
 
 
+# The character references that the given pages contain.
+_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©",
+    "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
+}
+
+
 def _sql_unescape(expression: str) -> str:
-    for entity, char in html.ENTITIES.items():
+    for entity, char in _ENTITIES.items():
         entity, char = entity.replace("'", "''"), char.replace("'", "''")
         expression = f"replace({expression}, '{entity}', '{char}')"
-    return expression
+    return f"regexp_replace({expression}, '&amp;?', '&', 'g')"  # cut titles end within a reference
 
 
 def _sql_text(expression: str) -> str:
@@ -568,61 +575,81 @@ FROM pages LEFT JOIN (
 
 
 def html_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of a news block built around each page's title; blocks of secure
-    pages have a link."""
+    """Fields of the stored pages and of a news block that stands in each before its article; its attributes stand in either
+    quotes or none and in any order, and blocks of secure pages have a link."""
     p = spread(si.table(spark, sf_dir, "pages"), "page_id")
     title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
     link = F.when(
-        F.col("url").startswith("https"), F.concat(F.lit('<a href="'), F.col("url"), F.lit('">more</a>'))
+        F.col("url").startswith("https"), F.concat(F.lit("<a rel=x data-at='1>0' href='"), F.col("url"), F.lit("'>more</a>"))
     ).otherwise("")
     block = F.concat(
-        F.lit('<div class="sc-9 BreakingNewsWrap"><div class="TimeBlock"> 03:22 </div>'),
-        F.lit('<div class="BreakingNewsContentWrap"><div class="x BreakingNewsTitle"><b>'), title,
-        F.lit('</b></div><div class="BreakingNewsContents"><div>'), F.col("url"),
-        F.lit("</div> "), title, F.lit("</div></div>"), link, F.lit("</div>"),
+        F.lit("<div id=b class='sc-9 BreakingNewsWrap'><div class=TimeBlock> 03&#58;22 </div>"),
+        F.lit('<div class="BreakingNewsContentWrap"><div id="t" class=\'x BreakingNewsTitle\'><b>'), title,
+        F.lit('</b> caf&eacute; &#8217;&#x27;</div><div class="BreakingNewsContents" title="a>b"><div>'), F.col("url"),
+        F.lit("</div> "), title, F.lit("</div></div>"), link, F.lit("</div><article>"),
     )
-    b = p.select("page_id", block.alias("html"))
-    h = F.col("html")
-    return b.select(
+    h = html.Page(F.col("_page"))
+    placed = p.select("page_id", F.replace("html", F.lit("<article>"), block).alias("html"))
+    return html.with_page(placed).select(
         "page_id",
-        html.class_text(h, "TimeBlock").alias("time"),
-        html.class_text(h, "BreakingNewsTitle").alias("title"),
-        html.class_text(h, "BreakingNewsContents").alias("content"),
-        html.first_link(h).alias("link"),
-        html.class_text(h, "ArticleTitle").alias("absent"),
+        h.class_text("TimeBlock").alias("time"),
+        h.class_text("BreakingNewsTitle").alias("title"),
+        h.class_text("BreakingNewsContents").alias("content"),
+        h.first_attribute("a", "data-at").alias("marked"),
+        h.class_text("^ad$").alias("ad"),
+        h.element_text("footer").alias("footer"),
+        h.element_text("h1").alias("heading"),
+        h.class_text("ArticleTitle").alias("absent"),
     )
 
 
 _TITLE_SQL = "regexp_extract(html, '<title>(.*?)</title>', 1, 'is')"
 FIELDS_SQL = f"""
-SELECT page_id, '03:22' AS time, {_sql_text(_TITLE_SQL)} AS title,
+SELECT page_id, '03:22' AS time, trim({_sql_unescape(_TITLE_SQL)} || ' café ’' || chr(39), {_TRIM}) AS title,
        {_sql_text("url || ' ' || " + _TITLE_SQL)} AS content,
-       CASE WHEN url LIKE 'https%' THEN url END AS link, NULL::VARCHAR AS absent
+       CASE WHEN url LIKE 'https%' THEN '1>0' END AS marked,
+       {_sql_text("regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's')")} AS ad,
+       {_sql_text("regexp_extract(html, '<footer>(.*?)</footer>', 1, 's')")} AS footer,
+       nullif({_sql_text("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")}, '') AS heading, NULL::VARCHAR AS absent
 FROM pages
 """
 
 
+def _described_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article pages with descriptions of their own in the head, the secure ones in another order of attributes."""
+    p = _article_pages(spark, sf_dir)
+    first = F.regexp_extract("url", "^[a-z]+://[^/]+/([^/?#]*)", 1)
+    plain = F.concat(
+        F.lit("<meta name='author' content='Ren&eacute; O&#8217;N'><meta property=\"og:site_name\" content=\"site of "), html.host(F.col("url")), F.lit('">'),
+        F.lit("<meta content='a &amp; b' name=\"description\"><meta property=article:section content='"), first, F.lit("'>"),
+        F.lit("<meta property='article:section' content=all><meta name=keywords content=' coin, "), first, F.lit(",, coin'>"),
+    )
+    secure = F.concat(F.lit("<meta content=\"2026-01-27T15:10:00Z\" data-x='>' property='article:published_time'>"), plain)
+    head = F.when(F.col("url").startswith("https"), secure).otherwise(plain)
+    return p.withColumn("html", F.replace("html", F.lit("<title>"), F.concat(head, F.lit("<title>"))))
+
+
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text and metadata; a page without text is skipped."""
-    rows = html.with_body_text(_article_pages(spark, sf_dir), BODY_CLASS)
-    h = F.col("html")
-    found = rows.select(
+    h = html.Page(F.col("_page"))
+    found = html.with_page(_described_pages(spark, sf_dir)).select(
         "page_id",
-        html.element_text(h, "title").alias("rawtitle"),
-        news.pick_title(html.element_text(h, "h1"), html.element_text(h, "title")).alias("title"),
+        h.element_text("title").alias("rawtitle"),
+        news.pick_title(h.element_text("h1"), h.element_text("title")).alias("title"),
         html.host(F.col("url")).alias("hostname"),
-        html.language(h).alias("language"),
-        html.meta_content(h, "author").alias("author"),
-        html.meta_content(h, "description").alias("description"),
-        html.meta_content(h, "og:site_name").alias("sitename"),
-        html.meta_content(h, "article:section").alias("categories"),
-        html.meta_content(h, "keywords").alias("tags"),
-        html.meta_content(h, "article:published_time").alias("date"),
-        "content",
+        h.language().alias("language"),
+        h.meta_content("author").alias("author"),
+        h.meta_content("description").alias("description"),
+        h.meta_content("og:site_name").alias("sitename"),
+        F.to_json(h.meta_contents("article:section")).alias("categories"),
+        F.to_json(h.meta_list("keywords", "article:tag")).alias("tags"),
+        h.meta_content("article:published_time").alias("date"),
+        h.body_text(BODY_CLASS).alias("content"),
     )
     return news.with_content(found)
 
 
+_FIRST_SQL = "regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]*)', 1)"
 METADATA_SQL = f"""
 WITH {_BODY_CTE}
 SELECT pages.page_id, nullif({_sql_text(_TITLE_SQL)}, '') AS rawtitle,
@@ -630,13 +657,38 @@ SELECT pages.page_id, nullif({_sql_text(_TITLE_SQL)}, '') AS rawtitle,
                 nullif({_sql_text(_TITLE_SQL)}, ''), '{text.NO_TITLE}') AS title,
        regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS hostname,
        nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS language,
-       NULL::VARCHAR AS author, NULL::VARCHAR AS description, NULL::VARCHAR AS sitename,
-       NULL::VARCHAR AS categories, NULL::VARCHAR AS tags, NULL::VARCHAR AS date, found.content
+       'René O’N' AS author, 'a & b' AS description,
+       'site of ' || regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS sitename,
+       to_json(CASE WHEN {_FIRST_SQL} = '' THEN ['all'] ELSE [{_FIRST_SQL}, 'all'] END)::VARCHAR AS categories,
+       to_json(CASE WHEN {_FIRST_SQL} IN ('', 'coin') THEN ['coin'] ELSE ['coin', {_FIRST_SQL}] END)::VARCHAR AS tags,
+       CASE WHEN url LIKE 'https%' THEN '2026-01-27T15:10:00Z' END AS date, found.content
 FROM pages JOIN (
   SELECT page_id, string_agg(content, ' ' ORDER BY i) AS content
   FROM visible WHERE content <> '' GROUP BY page_id) AS found USING (page_id)
 """
 
+
+def page_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The body of the stored pages, found without any class name; menu, advertisement and footer are not part of it."""
+    p = spread(si.table(spark, sf_dir, "pages"), "page_id")
+    return main_text.with_main_text(p, "page_id").select("page_id", "content", "n_blocks")
+
+
+MAIN_SQL = f"""
+WITH parts AS (
+  SELECT page_id, generate_subscripts(p, 1) AS i, unnest(p) AS part
+  FROM (SELECT page_id, regexp_split_to_array(
+          split_part(split_part({_HIDDEN_SQL.format("html")}, '<article>', 2), '</article>', 1),
+          '</?(p|h[1-6]|ul|ol|li|table|div)(\\s[^>]*)?>') AS p FROM pages)),
+blocks AS (
+  SELECT page_id, i, trim(regexp_replace({_sql_unescape("regexp_replace(part, '<[^>]*>', '', 'g')")}, '[\\s\u00a0]+', ' ', 'g')) AS block
+  FROM parts)
+SELECT pages.page_id, coalesce(content, '') AS content, coalesce(n_blocks, 0)::BIGINT AS n_blocks
+FROM pages LEFT JOIN (
+  SELECT page_id, string_agg(block, chr(10) ORDER BY i) AS content, count(*) AS n_blocks
+  FROM blocks WHERE block <> '' GROUP BY page_id) AS found USING (page_id)
+"""
+
 QUERIES = {
     "news_refine": (news_refine, REFINE_SQL),
     "clean_boilerplate": (clean_boilerplate, CLEAN_SQL),
@@ -674,4 +726,5 @@ QUERIES = {
     "html_paragraph_text": (html_paragraph_text, PARAGRAPH_SQL),
     "html_fields": (html_fields, FIELDS_SQL),
     "page_metadata": (page_metadata, METADATA_SQL),
+    "page_main_text": (page_main_text, MAIN_SQL),
 }

@@ -24,7 +24,7 @@ def con():
 
 # Only these may run Python in the plan they return.
 PYTHON = {"chunk_recursive", "embed_hashed", "embed_retry_dlq", "vector_topk", "batch_retrieval",
-          "context_or_default"}
+          "context_or_default", "html_paragraph_text", "html_fields", "page_metadata", "page_main_text"}
 
 
 @pytest.mark.parametrize("name", list(registry.queries()))
