@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslake.functions.text import NO_TITLE, or_none
 from newslake.operators.position import block_of, numbered
+from newslake.sources import ordered
 
 # Separator of context entries and the two fallback texts.
 RULE = "\n\n---\n\n"
@@ -85,3 +87,24 @@ def transcript(turns: DataFrame, turns_per_page: int = TURNS_PER_PAGE) -> DataFr
         lines, lambda x: F.struct(*[x[f].alias(f) for f in ("turn", "role", "text")])
     )
     return placed.groupBy("conv_id", page.alias("page")).agg(shown.alias("turns"))
+
+
+def write_transcripts(turns: DataFrame, path: str, rows_per_file: int = ordered.ROWS_PER_FILE) -> None:
+    """Every conversation as one transcript of any length: its turns in order, next to each other in numbered files, and
+    one manifest row that says where it begins and how many turns it has. Turns with equal numbers stand in any order."""
+    ordered.write_ordered(turns, path, ["turn"], ["conv_id"], rows_per_file)
+
+
+def read_transcript(spark: SparkSession, path: str, schema: T.StructType, conv_id: int | str) -> DataFrame:
+    """One conversation in order; opens only the files it lies in."""
+    found = ordered.manifest(spark, path).where(F.col("conv_id") == F.lit(conv_id)).first()
+    return ordered.places(spark, path, schema, found["first"] if found else 1, found["rows"] if found else 0)
+
+
+def transcripts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All turns with ``position`` in their conversation, from 1, and its ``n_turns``."""
+    r = ordered.records(spark, path, schema).alias("r")
+    m = ordered.manifest(spark, path).alias("m")
+    joined = r.join(m, F.col("r.conv_id").eqNullSafe(F.col("m.conv_id")))
+    position = (F.col("place") - F.col("first") + 1).alias("position")
+    return joined.select("r.conv_id", position, F.col("rows").alias("n_turns"), *[f"r.{c}" for c in schema.names if c != "conv_id"])

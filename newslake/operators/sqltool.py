@@ -7,9 +7,11 @@ import re
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newslake.operators.publish import as_json
-from newslake.session import use_utc
+from newslake.session import settle, use_utc
+from newslake.sources import ordered
 from newslake.sources.lake import trades_view
 
 # --- fixed values -----------------------------------------------------------
@@ -86,3 +88,36 @@ def query_trades_text(spark: SparkSession, sql: str, silver_root: str) -> str:
     if len(lines) == 1 and lines[0].startswith("Error: "):
         return lines[0]
     return "[" + ",".join(lines) + "]"
+
+
+def answer_to_files(spark: SparkSession, sql: str, silver_root: str, path: str, rows_per_file: int = ordered.ROWS_PER_FILE) -> str | None:
+    """The answer in the order of its statement as numbered files of JSON lines (column ``record``), read by ``answer_page``.
+
+    Tasks write it; the driver sees no row, however long the answer is. Returns the error text instead of writing if the
+    statement is rejected or fails before it runs.
+    """
+    session = isolated_session(spark)
+    if not is_read_only(sql):
+        return REJECTED
+    try:
+        trades_view(session, silver_root)
+        result = session.sql(sql)
+        lines = result.select(as_json(result).alias("record"), F.monotonically_increasing_id().alias("_row"))
+        lines = settle(lines, "answer")
+    except PySparkException as error:
+        return f"Error: {error}"
+    ordered.write_ordered(lines, path, ["_row"], rows_per_file=rows_per_file)
+    return None
+
+
+_RECORD = T.StructType([T.StructField("record", T.StringType())])
+
+
+def answer_page(spark: SparkSession, path: str, number: int, rows: int) -> DataFrame:
+    """``record, place`` of page ``number``, from 0, in order."""
+    return ordered.page(spark, path, _RECORD, number, rows)
+
+
+def answer(spark: SparkSession, path: str) -> DataFrame:
+    """``record, place`` of the whole answer."""
+    return ordered.records(spark, path, _RECORD).drop("file")

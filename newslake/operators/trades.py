@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -151,11 +152,20 @@ def volume(trades: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def trade_order() -> Column:
+    """Order of trades by time, then id, nulls first, as one number: an aggregate that keeps a number is hashed, one that keeps a
+    struct has to sort the table."""
+    wide = "decimal(38,0)"
+    time = F.coalesce(F.unix_micros("trade_time"), F.lit(-(10**17))).cast("decimal(18,0)").cast(wide)
+    # Ids take the 20 digits below the time; a null one is below all others.
+    number = F.coalesce(F.col("trade_id").cast(wide) + F.lit(Decimal(2**63 + 1)), F.lit(0).cast(wide))
+    return (time * F.lit(Decimal(10**20)) + number).cast(wide)
+
+
 def latest_price(trades: DataFrame, *by: str) -> DataFrame:
     """Price of the newest trade; the higher id wins between equal times."""
-    at = F.struct("trade_time", "trade_id")
     return trades.groupBy(*by).agg(
-        F.max_by("price", at).alias("latest_price"),
+        F.max_by("price", trade_order()).alias("latest_price"),
         F.max("trade_time").alias("trade_time"),
     )
 

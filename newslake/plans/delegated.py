@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newslake.operators import position
+from newslake.operators import position, sketches, trades
 from newslake.plans import lakes
 from newslake.plans import stand_ins as si
 from newslake.session import settle
@@ -26,7 +26,7 @@ def _day():
 
 
 def d_ohlcv_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.struct("trade_time", "trade_id")
+    at = trades.trade_order()
     return _trades(spark, sf_dir).groupBy("symbol", _hour()).agg(
         F.min_by("price", at).alias("open"),
         F.max("price").alias("high"),
@@ -85,6 +85,32 @@ def d_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 DISTINCT_SQL = "SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY 1"
 
 
+def d_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users per event type and day, and over all days (day null), from hourly sketches; the exact count stands beside and
+    ``within_bound`` says whether the estimate is off by at most four standard deviations."""
+    e = si.table(spark, sf_dir, "events").select("event_type", "ts", "user_id")
+    hourly = settle(sketches.hourly_sketches(e, ["event_type"], F.col("ts"), "user_id"), "sketches")
+    day = lambda at: F.date_trunc("day", at).cast("timestamp_ntz").alias("day")
+    spans = sketches.merged(hourly, "event_type", day("hour")).withColumn("level", F.lit(0))
+    whole = sketches.merged(spans, "event_type").select("event_type", F.lit(None).cast("timestamp_ntz").alias("day"), "sketch", F.lit(1).alias("level"))
+    found = sketches.estimated(spans.unionByName(whole))
+    exact = e.groupBy("event_type", day("ts")).agg(F.count_distinct("user_id").alias("n_users")).withColumn("level", F.lit(0))
+    total = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    exact = exact.unionByName(total.select("event_type", F.lit(None).cast("timestamp_ntz").alias("day"), "n_users", F.lit(1).alias("level")))
+    f, x = found.alias("f"), exact.alias("x")
+    same = F.col("f.event_type").eqNullSafe(F.col("x.event_type")) & F.col("f.day").eqNullSafe(F.col("x.day")) & (F.col("f.level") == F.col("x.level"))
+    bound = F.ceil(F.lit(4 * sketches.relative_error()) * F.col("n_users"))
+    return f.join(x, same).select("x.event_type", "x.day", "n_users", (F.abs(F.col("estimate") - F.col("n_users")) <= bound).alias("within_bound"))
+
+
+APPROX_SQL = """
+SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS day, count(DISTINCT user_id) AS n_users, TRUE AS within_bound
+FROM events GROUP BY ALL
+UNION ALL
+SELECT event_type, NULL, count(DISTINCT user_id), TRUE FROM events GROUP BY event_type
+"""
+
+
 def _grouped(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _trades(spark, sf_dir).select("symbol", "side", _day(), "quantity")
     grouped = getattr(t, kind)("symbol", "side", "day_start")
@@ -327,6 +353,7 @@ QUERIES = {
     "d_ohlcv_hourly": (d_ohlcv_hourly, OHLCV_SQL),
     "d_side_imbalance": (d_side_imbalance, IMBALANCE_SQL),
     "d_distinct": (d_distinct, DISTINCT_SQL),
+    "d_approx_distinct": (d_approx_distinct, APPROX_SQL),
     "d_rollup": (d_rollup, _grouped_sql("ROLLUP")),
     "d_cube": (d_cube, _grouped_sql("CUBE")),
     "d_top_trades": (d_top_trades, TOP_SQL),

@@ -533,6 +533,41 @@ FROM silver
     si.EV, si.SILVER,
 )
 
+def sql_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered answer as files, read back with each record's place."""
+    si.use_utc(spark)
+    path = scratch_path(spark, "answer")
+    sql = "SELECT symbol, trade_id, price FROM trades ORDER BY price DESC, trade_id, symbol"
+    failed = sqltool.answer_to_files(spark, sql, lakes.silver_root(spark, sf_dir), path)
+    if failed:
+        raise RuntimeError(failed)
+    return sqltool.answer(spark, path)
+
+
+PAGES_SQL = si.with_ctes(
+    """
+SELECT to_json({'symbol': symbol, 'trade_id': trade_id, 'price': price})::VARCHAR AS record,
+       row_number() OVER (ORDER BY price DESC, trade_id, symbol) AS place
+FROM silver
+""",
+    si.EV, si.SILVER,
+)
+
+
+def transcript_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation as one transcript of any length, written as ordered files and read back."""
+    turns = si.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = scratch_path(spark, "transcripts")
+    retrieval.write_transcripts(turns, path)
+    return retrieval.transcripts(spark, path, turns.schema)
+
+
+TRANSCRIPT_RECORD_SQL = """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position,
+       count(*) OVER (PARTITION BY conv_id) AS n_turns, turn, role, text
+FROM conversations
+"""
+
 QUERIES = {
     "embed_hashed": (embed_hashed, EMBED_SQL),
     "embed_retry_dlq": (embed_retry_dlq, RETRY_SQL),
@@ -553,4 +588,6 @@ QUERIES = {
     "sql_guard": (sql_guard, GUARD_SQL),
     "sql_tool_result": (sql_tool_result, TOOL_SQL),
     "sql_result_json": (sql_result_json, RECORDS_SQL),
+    "sql_result_pages": (sql_result_pages, PAGES_SQL),
+    "transcript_record": (transcript_record, TRANSCRIPT_RECORD_SQL),
 }
