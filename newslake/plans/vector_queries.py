@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions import text
-from newslake.operators import chunk, dedup, embed, metrics, news, retrieval, search, sqltool
+from newslake.operators import chunk, dedup, embed, metrics, news, retrieval, search, search_sql, sqltool
 from newslake.operators import trades as trade_ops
 from newslake.operators import vectors
 from newslake.plans import lakes
@@ -533,6 +533,46 @@ FROM silver
     si.EV, si.SILVER,
 )
 
+def _searching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector table as a frame of a session of its own, in which functions can be defined."""
+    return lakes.vector_table(sqltool.isolated_session(spark), sf_dir)
+
+
+def search_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One question, the longest of the benchmark, asked in SQL."""
+    table = _searching(spark, sf_dir)
+    session = table.sparkSession
+    asked = si.table(session, sf_dir, "benchmark").where("text IS NOT NULL")
+    question = asked.orderBy(F.length("text").desc(), "item_id").select("text").first()
+    search_sql.register_search(session, table, embed.HashedWords(DIMENSION), DIMENSION)
+    return session.sql("SELECT * FROM search_news(:q, 5)", {"q": question["text"] if question else ""})
+
+
+_FOUND_SQL = f"""rank, id, title, content, url, source, coalesce(strftime(published_at, {_ISO}), '') AS published_at, score"""
+SEARCH_NEWS_SQL = si.with_ctes(
+    f"""
+SELECT {_FOUND_SQL} FROM hits JOIN article USING (id)
+WHERE question_id = (SELECT item_id FROM benchmark ORDER BY length(text) DESC NULLS LAST, item_id LIMIT 1)
+""",
+    *_SEARCH_CTES,
+)
+
+
+def search_news_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every question of the benchmark, lateral over its table."""
+    table = _searching(spark, sf_dir)
+    session = table.sparkSession
+    asked = si.table(session, sf_dir, "benchmark")
+    search_sql.register_questions(session, table, asked, embed.HashedWords(DIMENSION), DIMENSION)
+    asked.createOrReplaceTempView("asked")
+    return session.sql("SELECT asked.item_id AS question_id, found.* FROM asked, LATERAL search_news_of(asked.text, 3) AS found")
+
+
+LATERAL_SQL = si.with_ctes(
+    f"SELECT question_id, {_FOUND_SQL} FROM hits JOIN article USING (id) WHERE rank <= 3", *_SEARCH_CTES
+)
+
+
 def sql_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ordered answer as files, read back with each record's place."""
     si.use_utc(spark)
@@ -588,6 +628,8 @@ QUERIES = {
     "sql_guard": (sql_guard, GUARD_SQL),
     "sql_tool_result": (sql_tool_result, TOOL_SQL),
     "sql_result_json": (sql_result_json, RECORDS_SQL),
+    "search_news": (search_news, SEARCH_NEWS_SQL),
+    "search_news_lateral": (search_news_lateral, LATERAL_SQL),
     "sql_result_pages": (sql_result_pages, PAGES_SQL),
     "transcript_record": (transcript_record, TRANSCRIPT_RECORD_SQL),
 }
