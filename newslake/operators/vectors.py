@@ -1,7 +1,7 @@
 """The vector table: rows to store, upsert by several writers, current state.
 
-The table is a set of data folders under a commit log (``sources/commits.py``), each with one folder per hash bucket of the URL. A
-batch reads only the buckets its URLs fall into.
+The table is a set of data folders under a commit log (``sources/commits.py``), each with one folder per hash bucket of the URL, and a Bloom filter
+of its URLs beside it. A batch reads only the buckets that hold a URL the filters suspect to be its own.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from newslake.functions import text, times
 from newslake.functions.vectors import has_dimension
+from newslake.operators import url_filter
 from newslake.operators.embed import DIMENSION
 from newslake.schemas import VECTOR_ROW
 from newslake.session import settle
@@ -23,6 +24,7 @@ from newslake.sources import commits
 VERSION = "version"
 BUCKET = "bucket"
 DATA = "data"
+FILTER = "filter"
 BUCKETS = 16  # a table keeps the number it was made with
 MOST_FOLDERS = 24
 WRONG_SIZE = "vector has the wrong dimension"
@@ -70,13 +72,16 @@ def bucket_of(url: Column, key: Column, buckets: int = BUCKETS) -> Column:
 
 
 def _write(points: DataFrame, root: str) -> tuple[str, list[int]]:
-    """A new data folder with one folder per bucket: its name, and the buckets that have rows. Not part of the table until committed."""
+    """A new data folder with one folder per bucket, and the filter of its URLs: its name, and the buckets that have rows. Not part of the table until committed."""
     name = uuid.uuid4().hex
     path = f"{root}/{DATA}/{name}"
     rows = points.withColumn(BUCKET, bucket_of(F.col("url"), F.col("id"))).hint("rebalance", BUCKET)
     rows.write.partitionBy(BUCKET).parquet(path)
     schema = T.StructType([*VECTOR_ROW.fields, T.StructField(BUCKET, T.IntegerType())])
-    return name, [r[BUCKET] for r in points.sparkSession.read.schema(schema).parquet(path).select(BUCKET).distinct().collect()]
+    written = points.sparkSession.read.schema(schema).parquet(path)
+    words = url_filter.url_filter(written, F.col(BUCKET)).sortWithinPartitions("bucket", "word")
+    words.write.parquet(f"{root}/{FILTER}/{name}")
+    return name, [r[BUCKET] for r in written.select(BUCKET).distinct().collect()]
 
 
 def upsert(points: DataFrame, root: str, batch: int, writer: str = "batch") -> int:
@@ -123,6 +128,23 @@ def buckets_of(articles: DataFrame) -> list[int]:
     return [r[BUCKET] for r in found.collect()]
 
 
+def stored_among(spark: SparkSession, root: str, articles: DataFrame, besides: tuple[str, int] | None = None) -> DataFrame:
+    """The URLs of ``articles`` that are stored, exactly.
+
+    The filters of the live folders name the suspects; stored URLs are read only in buckets that have one, so a batch of new
+    articles reads filters and nothing else. ``besides`` as in ``all_versions``.
+    """
+    live = [f for f in commits.state(spark, root).folders.values() if f.buckets and (f.writer, f.batch) != besides]
+    buckets = buckets_of(articles) if live else []
+    if not buckets:
+        return spark.createDataFrame([], "url string")
+    filters = spark.read.schema(url_filter.SCHEMA).parquet(*[f"{root}/{FILTER}/{f.path}" for f in live])
+    asked = url_filter.keyed(articles, bucket_of(F.col("url"), F.col("url")))
+    suspected = settle(url_filter.suspects(asked, filters.where(F.col("bucket").isin(buckets))), "suspects")
+    hit = [r.bucket for r in suspected.select("bucket").distinct().collect()]
+    return _rows(spark, root, live, hit).select("url").join(suspected.select("url"), "url", "left_semi")
+
+
 def newest_versions(points: DataFrame, name: str = "superseded") -> DataFrame:
     """Current row of each id.
 

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.functions import html, text, times
-from newslake.operators import chunk, decode, dedup, main_text, metrics, news, publish, trades
+from newslake.operators import chunk, decode, dedup, main_text, metrics, news, publish, trades, url_filter
 from newslake.operators.position import numbered
 from newslake.operators.vectors import with_payload
 from newslake.plans import lakes
 from newslake.plans import stand_ins as si
 from newslake.schemas import PARTITIONS, RAW_ARTICLE, REFINED_ARTICLE
-from newslake.session import spread
+from newslake.session import settle, spread
 from newslake.sources import lake
 
 # The hour that slice queries read.
@@ -425,6 +425,14 @@ WHERE link IS NULL OR link NOT IN (SELECT url FROM stored)
 )
 
 
+def url_dedup_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New articles, of which only those that a filter of the stored URLs suspects are compared with them."""
+    stored = si.stored_articles(spark, sf_dir)
+    bucket = F.pmod(F.xxhash64("url"), F.lit(64))
+    filters = settle(url_filter.url_filter(stored, bucket), "url-filter")
+    return url_filter.not_stored_filtered(_incoming(spark, sf_dir), stored, filters, bucket)
+
+
 def url_dedup_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.already_stored(_incoming(spark, sf_dir), si.stored_articles(spark, sf_dir))
 
@@ -717,6 +725,7 @@ QUERIES = {
     "deterministic_id": (deterministic_id, ID_SQL),
     "vector_payload": (vector_payload, VECTOR_PAYLOAD_SQL),
     "url_dedup_anti": (url_dedup_anti, ANTI_SQL),
+    "url_dedup_filtered": (url_dedup_filtered, ANTI_SQL),
     "url_dedup_semi": (url_dedup_semi, SEMI_SQL),
     "url_dedup_batch": (url_dedup_batch, BATCH_SQL),
     "chunk_fixed": (chunk_fixed, FIXED_SQL),

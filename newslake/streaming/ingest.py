@@ -52,8 +52,7 @@ def ingest(
     """
     articles = loaded.withColumn("url", F.coalesce("link", F.lit("")))
     unique = settle(dedup.one_per_id(news.with_content(articles), *order), "unique")
-    others = vectors.all_versions(spark, root, vectors.buckets_of(unique), (BATCH_WRITER, version))
-    fresh = dedup.not_stored_batch(unique, others.select("url"))
+    fresh = dedup.not_stored(unique, settle(vectors.stored_among(spark, root, unique, (BATCH_WRITER, version)), "seen-urls"))
     pieces = settle(fresh.withColumn("_chunks", chunker(F.col("content"))), "pieces")
     rows = chunk.chunk_rows(pieces, F.col("_chunks")).drop("_chunks")
     done = embed.with_vectors(rows, embedder).withColumn("vector", _vector_or_fail())
@@ -108,8 +107,7 @@ def _embed_parsed(parsed: DataFrame, batch_id: int, root: str, embedder: embed.E
     url = text.article_url(F.col("link"), F.col("url"))
     articles = decoded.withColumn("url", url)
     unique = settle(dedup.one_per_id(news.with_content(articles), "arrived_at", "value"), "unique")
-    stored = vectors.all_versions(spark, root, vectors.buckets_of(unique))
-    fresh = dedup.not_stored_batch(unique, stored.select("url"))
+    fresh = dedup.not_stored(unique, settle(vectors.stored_among(spark, root, unique), "seen-urls"))
     done = settle(embed.with_vectors(fresh, embedder, waits=waits), "embedded")
     stored_at = times.iso(F.current_timestamp())
     points = vectors.article_points(done.where("error IS NULL"), stored_at)
