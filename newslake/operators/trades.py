@@ -156,7 +156,7 @@ def trade_order() -> Column:
     """Order of trades by time, then id, nulls first, as one number: an aggregate that keeps a number is hashed, one that keeps a
     struct has to sort the table."""
     wide = "decimal(38,0)"
-    time = F.coalesce(F.unix_micros("trade_time"), F.lit(-(10**17))).cast("decimal(18,0)").cast(wide)
+    time = F.coalesce(F.unix_micros(F.col("trade_time").cast("timestamp")), F.lit(-(10**17))).cast("decimal(18,0)").cast(wide)
     # Ids take the 20 digits below the time; a null one is below all others.
     number = F.coalesce(F.col("trade_id").cast(wide) + F.lit(Decimal(2**63 + 1)), F.lit(0).cast(wide))
     return (time * F.lit(Decimal(10**20)) + number).cast(wide)
