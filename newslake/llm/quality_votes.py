@@ -6,6 +6,11 @@ posterior of a document, not a count of passed rules, decides. The model: votes
 the truth, and a rule that votes is right with one probability about good documents and with
 another about bad ones (a rule may see few of the bad ones and yet hardly ever be wrong about a good one).
 
+The first step takes the share of good ones among a document's votes for its probability, and steps go on until no rate moves by ``CLOSE``; no labels, starting
+rates or bounds enter, and one vote each way keeps rates off 0 and 1. ``judge`` estimates over the documents that pass the base rules,
+since only these are decided by the posterior; the others, being alike, would else be the class that is found. Where none
+passes, or none has a vote, nothing is known and the posterior is one half.
+
 Documents with the same votes have the same posterior, so the steps run on the table of vote
 patterns, at most 3 ** rules rows however large the corpus; a few sums reach the driver in each step.
 
@@ -29,10 +34,8 @@ BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEWEST_WORDS = 50
 POSITION_BITS = 24  # positions below 2**24 are packed beside a hash; longer documents sort pairs
-STEPS = 12
-START = (0.97, 0.3)  # right about good ones, right about bad ones
-BOUNDS = ((0.95, 0.999), (0.05, 0.999))
-PRIOR, PRIOR_BOUNDS = 0.8, (0.05, 0.98)
+CLOSE = 0.003  # the steps end when no rate moves by more
+SMOOTH = 1.0  # votes added each way
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_ends"]
 
 
@@ -124,13 +127,19 @@ def _posterior(accuracy: dict[str, tuple[float, float]], prior: float) -> Column
     return 1 / (1 + F.exp(-_log_odds(accuracy, prior)))
 
 
-def estimate(votes: DataFrame, steps: int = STEPS) -> tuple[dict[str, tuple[float, float]], float]:
-    """How often each rule is right about good and about bad documents, and the share of good ones."""
+def _share(names: list[str]) -> Column:
+    """The share of good votes."""
+    cast = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+    return sum((F.coalesce(n, F.lit(0)) for n in names), F.lit(0)) / cast
+
+
+def fitted(votes: DataFrame) -> tuple[dict[str, tuple[float, float]], float, int]:
+    """How often each rule is right about good and about bad documents, the share of good ones, and the steps it took."""
     names = [f"vote_{k}" for k in rules()]
-    accuracy, prior = dict.fromkeys(names, START), PRIOR
     patterns = settle(votes.where(F.coalesce(*names).isNotNull()).groupBy(*names).agg(F.count("*").alias("n")), "vote-patterns")
-    for _ in range(steps):
-        q = _posterior(accuracy, prior)
+    accuracy, prior, steps, moved = dict.fromkeys(names, (0.5, 0.5)), 0.5, 0, 1.0
+    while moved > CLOSE:
+        q = _posterior(accuracy, prior) if steps else _share(names)
         sums = [F.sum("n").alias("n"), F.sum(F.col("n") * q).alias("good")]
         for name in names:
             for kind, share, vote in (("good", q, 1), ("bad", 1 - q, 0)):
@@ -139,21 +148,25 @@ def estimate(votes: DataFrame, steps: int = STEPS) -> tuple[dict[str, tuple[floa
                          F.sum(F.when(F.col(name).isNotNull(), weight)).alias(f"{name}_{kind}_cast")]
         row = patterns.agg(*sums).first()
         if not row["n"]:
-            return accuracy, prior
-        prior = min(max(row["good"] / row["n"], PRIOR_BOUNDS[0]), PRIOR_BOUNDS[1])
-        for name in names:
-            rates = []
-            for kind, old, (low, high) in zip(("good", "bad"), accuracy[name], BOUNDS, strict=True):
-                cast = row[f"{name}_{kind}_cast"]
-                rates.append(min(max((row[f"{name}_{kind}_right"] or 0.0) / cast, low), high) if cast else old)
-            accuracy[name] = tuple(rates)
-    return accuracy, prior
+            break
+        rate = lambda part, whole: ((row[part] or 0.0) + SMOOTH) / ((row[whole] or 0.0) + 2 * SMOOTH)
+        found = {name: tuple(rate(f"{name}_{kind}_right", f"{name}_{kind}_cast") for kind in ("good", "bad")) for name in names}
+        share = rate("good", "n")
+        moved = max(abs(share - prior), *(abs(x - y) for name in names for x, y in zip(found[name], accuracy[name], strict=True)))
+        accuracy, prior, steps = found, share, steps + 1
+    return accuracy, prior, steps
+
+
+def estimate(votes: DataFrame) -> tuple[dict[str, tuple[float, float]], float]:
+    """The rates of the rules and the share of good documents."""
+    return fitted(votes)[:2]
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """Per row: the measures of the text, base_failed, kept and the posterior probability of good quality."""
+    """Per row: the measures of the text, base_failed, kept, the posterior probability of good quality, and ``steps`` of the estimation."""
     votes = voted(settle(measured(docs), "quality-measures"))
-    accuracy, prior = estimate(votes)
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    accuracy, prior, steps = fitted(votes.where(~failed))
     posterior = _posterior(accuracy, prior)
-    return votes.select("doc_id", *MEASURES[:5], failed.alias("base_failed"), (~failed & (posterior >= 0.5)).alias("kept"), posterior.alias("posterior"))
+    return votes.select("doc_id", *MEASURES[:5], failed.alias("base_failed"), (~failed & (posterior >= 0.5)).alias("kept"), posterior.alias("posterior"),
+                        F.lit(steps).cast("long").alias("steps"))

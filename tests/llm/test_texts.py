@@ -146,3 +146,42 @@ def test_mixing_reports_targets_that_cells_cannot_meet(spark):
             now = sum(r.weight for r in got if r[d] == label)
             assert all(abs(r[f"miss_{d}"] - abs(now / share - 1)) < 1e-9 for r in got if r[d] == label)
     assert max(r.miss_topic for r in got) < 1e-9 and max(r.miss_source for r in got) > 0.2
+
+
+def test_votes_are_weighed_as_a_plain_version_does(spark):
+    """Expectation-maximisation in plain Python from the shares of good votes: same rates, posterior by posterior."""
+    names = [f"vote_{k}" for k in quality_votes.rules()]
+    rng = random.Random(11)
+    rows = []
+    for _ in range(800):
+        truth = rng.random() < 0.8
+        rows.append(tuple(None if rng.random() < 0.3 else int(truth if rng.random() < 0.75 + 0.03 * j else not truth) for j in range(len(names))))
+    rows += [(None,) * len(names)] * 5
+    accuracy, prior, steps = quality_votes.fitted(spark.createDataFrame(rows, ", ".join(f"{n} int" for n in names)))
+    cast = [r for r in rows if any(v is not None for v in r)]
+    good = [sum(v or 0 for v in r) / sum(v is not None for v in r) for r in cast]
+    rates, share, n, moved = [(0.5, 0.5)] * len(names), 0.5, 0, 1.0
+    while moved > quality_votes.CLOSE:
+        if n:
+            good = []
+            for r in cast:
+                up, down = share, 1 - share
+                for v, (g, b) in zip(r, rates):
+                    if v is not None:
+                        up, down = up * (g if v else 1 - g), down * (1 - b if v else b)
+                good.append(up / (up + down))
+        new = []
+        for j in range(len(names)):
+            seen = [(r[j], q) for r, q in zip(cast, good) if r[j] is not None]
+            new.append(((sum(q for v, q in seen if v) + 1) / (sum(q for _, q in seen) + 2),
+                        (sum(1 - q for v, q in seen if not v) + 1) / (sum(1 - q for _, q in seen) + 2)))
+        now = (sum(good) + 1) / (len(cast) + 2)
+        moved = max(abs(now - share), *(abs(x - y) for a, b in zip(new, rates) for x, y in zip(a, b)))
+        rates, share, n = new, now, n + 1
+    assert n == steps and abs(prior - share) < 1e-9
+    assert all(abs(x - y) < 1e-9 for name, wanted in zip(names, rates) for x, y in zip(accuracy[name], wanted))
+
+
+def test_no_document_passes_the_base_rules(spark):
+    rows = quality_votes.judge(docs(spark, ["too short", None, ""])).collect()
+    assert all(r.base_failed and not r.kept and r.posterior == 0.5 and r.steps == 0 for r in rows)
