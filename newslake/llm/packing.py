@@ -15,16 +15,16 @@ The driver sees the histogram (``UNITS`` numbers) and a plan of at most ``UNITS
 remainders are stored, two bytes each for small vocabularies. Checksums of whole pieces are taken where the text is encoded; pieces cut
 from the tape meet the stored ids again.
 
-Distinct words between ASCII white space are encoded once per worker; the vocabulary drops white space, which no token and no added token contains,
-so the words' ids in a row are the text's. Null text is empty: its document is the end id alone. Repeated rows and null ids are documents of their
+Distinct pieces of words between ASCII white space are encoded once per worker; the vocabulary drops white space, which no token and no added token
+contains, so the words' ids in a row are the text's. Null text is empty: its document is the end id alone. Repeated rows and null ids are documents of their
 own. An empty table gives an empty result. Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslake.llm.common import map_batches
+from newslake.llm.textbytes import LOWER, SPACE, Run, runs
 from newslake.operators.position import numbered, running_total
 from newslake.session import settle
 
@@ -42,19 +43,90 @@ UNITS = 32
 DEPTH = 8
 END_ID = 2
 BLOCK = 1 << 18  # tokens of the tape that one task cuts at a time
-MOST_WORDS = 400_000  # words, and pieces of words, that a worker keeps; beyond, it starts anew
-# How the vocabulary cuts lower-case text, here over the letters of PLAIN, and its mark of a word's end.
+MOST_WORDS = 400_000  # pieces and odd words that a worker keeps; beyond, it starts anew
+MOST_MERGED = 32  # bytes of a piece that is merged in arrays; longer ones go to the library
+RUN_BYTES = 4 << 20
+BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
+# How the vocabulary cuts lower-case text, the same over the letters of PLAIN, and its mark of a word's end.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\\sa-z0-9À-ÖØ-öø-ſ]+")
 PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")  # lower case and composition change nothing else about these
 WORD_END = "</w>"
 
 
+def _kinds() -> np.ndarray:
+    kind = np.full(256, ODD, np.uint8)
+    kind[33:127] = SIGN
+    kind[48:58] = DIGIT
+    kind[65:91] = kind[97:123] = LETTER
+    kind[SPACE] = BLANK
+    return kind
+
+
+KIND = _kinds()
+NEVER = np.iinfo(np.int32).max
+
+
+class Merges:
+    """Byte-pair merging of many short pieces at once: in each round every piece merges its leftmost pair of lowest rank."""
+
+    def __init__(self, model: dict):
+        vocabulary = model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.size = max(vocabulary.values()) + 1
+        keys = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.rank = keys[order], order.astype(np.int32)
+        self.made = np.array([vocabulary[a + b] for a, b in pairs], np.int32)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+        self.inner = np.array([vocabulary[letters[b]] for b in range(256)], np.int32)
+        self.last = np.array([vocabulary[letters[b] + WORD_END] for b in range(256)], np.int32)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], NEVER)
+
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each piece, and all ids in a row. No piece may be empty."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data, begin = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(lengths) - lengths
+        sizes, done = np.zeros(len(pieces), np.int64), []
+        who, ids, ranks = np.zeros(0, np.int64), np.zeros((0, 0), np.int32), np.zeros((0, 0), np.int32)
+        for n in range(int(lengths.max(initial=0)), 0, -1):
+            fresh = np.flatnonzero(lengths == n)
+            symbols = data[begin[fresh][:, None] + np.arange(n)]
+            symbols = np.concatenate([self.inner[symbols[:, :-1]], self.last[symbols[:, -1:]]], axis=1)
+            pairs = self.ranks(symbols[:, :-1], symbols[:, 1:])
+            if len(who):
+                symbols, pairs, fresh = np.concatenate([symbols, ids]), np.concatenate([pairs, ranks]), np.concatenate([fresh, who])
+            if not len(fresh):
+                continue
+            best = pairs.argmin(axis=1) if n > 1 else np.zeros(len(fresh), np.int64)
+            lowest = pairs[np.arange(len(fresh)), best] if n > 1 else np.full(len(fresh), NEVER)
+            ended = lowest == NEVER
+            sizes[fresh[ended]] = n
+            done.append((fresh[ended], symbols[ended]))
+            who, best, symbols, pairs = fresh[~ended], best[~ended], symbols[~ended], pairs[~ended]
+            rows = np.arange(len(who))
+            symbols[rows, best] = self.made[lowest[~ended]]
+            ids = symbols[np.arange(n) != best[:, None] + 1].reshape(len(who), n - 1)
+            ranks = pairs[np.arange(n - 1) != best[:, None]].reshape(len(who), max(n - 2, 0))
+            before, after = np.flatnonzero(best > 0), np.flatnonzero(best < n - 2)
+            ranks[before, best[before] - 1] = self.ranks(ids[before, best[before] - 1], ids[before, best[before]])
+            ranks[after, best[after]] = self.ranks(ids[after, best[after]], ids[after, best[after] + 1])
+        first, out = np.cumsum(sizes) - sizes, np.zeros(int(sizes.sum()), np.uint32)
+        for some, found in done:
+            out[first[some][:, None] + np.arange(found.shape[1])] = found
+        return sizes, out
+
+
 class WordEncoder:
-    """Ids of texts, each distinct word encoded once.
+    """Ids of texts, each distinct piece encoded once.
 
-    A word of printable ASCII and Latin letters is further cut as the vocabulary cuts it; these pieces, far fewer than words, go
-    to the library many at a time and are told apart by the word-end marks of their last tokens. All other words, and words that hold an
-    added token, go to the library as they are.
+    Words of printable ASCII are cut, all at once, as the vocabulary cuts them. Words of ASCII and Latin letters are cut by PIECES. New short
+    pieces are merged in arrays. All other words, words that hold an added token, and long pieces go to the library as they are.
     """
 
     def __init__(self, path: str):
@@ -62,11 +134,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        vocabulary = self.library.get_vocab()
-        self.kind = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
-        self.added = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
-        self.closing = {i for t, i in vocabulary.items() if t.endswith(WORD_END)}
-        self.pieces: dict[str, list[int]] = {}
+        parts = json.loads(self.library.to_str())
+        if parts["model"].get("end_of_word_suffix") != WORD_END or SPLIT not in json.dumps(parts["pre_tokenizer"]).replace("\\\\", "\\"):
+            raise ValueError("a vocabulary that cuts words otherwise")
+        self.merges = Merges(parts["model"])
+        self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
+        self.added = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.library.get_added_tokens_decoder().values()) or b"(?!)")
         self.forget()
 
     def forget(self) -> None:
@@ -74,53 +147,80 @@ class WordEncoder:
         self.first = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        if len(self.pieces) > MOST_WORDS:
-            self.pieces = {}
-        known, closing = self.pieces, self.closing
-        for k in range(0, len(new), 64):
-            part = new[k : k + 64]
-            at = 0
-            ids = self.library.encode(" ".join(part), add_special_tokens=False).ids
-            ends = [n + 1 for n, i in enumerate(ids) if i in closing]
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary does not mark the ends of words")
-            for piece, end in zip(part, ends, strict=True):
-                known[piece] = ids[at:end]
-                at = end
-
-    def _ids_of(self, words: list[bytes]) -> list[list[int]]:
-        joined = b" ".join(words).decode()
-        names = joined.split(" ")
-        plain = list(map(PLAIN.fullmatch, names))
-        if self.added.search(joined):
-            plain = [p and not self.added.search(p[0]) for p in plain]
-        cut = [PIECES.findall(w.lower()) if p else [] for w, p in zip(names, plain, strict=True)]
-        self._learn_pieces([c for c in dict.fromkeys(c for cs in cut for c in cs) if c not in self.pieces])
-        rest = iter(self.library.encode_batch([w for w, p in zip(names, plain, strict=True) if not p], add_special_tokens=False))
-        known = self.pieces
-        return [(known[cs[0]] if len(cs) == 1 else [i for c in cs for i in known[c]]) if p else next(rest).ids for p, cs in zip(plain, cut, strict=True)]
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
+    def _units(self, run: Run) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Pieces of plain words and whole odd words in a row; which are odd; where each text begins among them."""
+        kind = KIND[run.data]
+        for found in self.added.finditer(run.data.tobytes()):
+            kind[found.start()] = ODD
+        solid = kind != BLANK
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        heads = run.starts[:-1][run.lengths > 0]
+        begins[heads] = solid[heads]
+        upto = np.concatenate([[0], np.cumsum(solid)])[run.starts]
+        body, kind, begins = run.data[solid], kind[solid], begins[solid]
+        words = np.flatnonzero(begins)
+        odd = np.maximum.reduceat(kind, words) == ODD if len(words) else np.zeros(0, bool)
+        odd = np.repeat(odd, np.diff(words, append=len(body)))
+        body = np.where(odd, body, LOWER[body])
+        cut = kind == DIGIT
+        cut[1:] |= kind[1:] != kind[:-1]
+        cut = (cut & ~odd) | begins
+        inner = np.concatenate([np.where(begins, 0, body), np.zeros(2, np.uint8)])
+        at = np.flatnonzero(cut & ~odd & (body == ord("'")))
+        one, two = inner[at + 1], inner[at + 1].astype(np.int64) << 8 | inner[at + 2]
+        short, long = np.isin(one, list(b"stmd")), np.isin(two, [int.from_bytes(b, "big") for b in (b"re", b"ve", b"ll")])
+        at, after = at[short | long], (at + 2 + long)[short | long]
+        cut[at + 1] = False
+        cut[after[after < len(cut)]] = True
+        first = np.flatnonzero(cut)
+        offsets = np.append(first, len(body)).astype(np.int64)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+        return units, odd[first], np.searchsorted(first, upto)
+
+    def _store(self, units: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.index.update(zip(units, range(len(self.index), len(self.index) + len(units)), strict=True))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(sizes)
+        return sizes, self.ids[np.arange(int(sizes.sum())) + np.repeat(self.first[at] - ends + sizes, sizes)]
+
+    def _learn(self, pieces: list[bytes], odd: list[bytes]) -> None:
+        """Store new pieces and new odd words."""
+        names = [w.decode() for w in odd]
+        cuts = [PIECES.findall(n.lower()) if PLAIN.fullmatch(n) and not self.added.search(w) else [] for n, w in zip(names, odd, strict=True)]
+        cuts = [[c.encode() for c in cs] for cs in cuts]
+        pieces = list(dict.fromkeys([*pieces, *(c for cs in cuts for c in cs if c not in self.index)]))
+        short = [p for p in pieces if len(p) <= MOST_MERGED]
+        if short:
+            self._store(short, *self.merges(short))
+        whole = [p for p in pieces if len(p) > MOST_MERGED] + [w for w, cs in zip(odd, cuts, strict=True) if not cs]
+        if whole:
+            found = [e.ids for e in self.library.encode_batch([w.decode() for w in whole], add_special_tokens=False)]
+            self._store(whole, np.array([len(f) for f in found]), np.array([i for f in found for i in f], np.uint32))
+        joined = [(w, cs) for w, cs in zip(odd, cuts, strict=True) if cs and w not in self.index]
+        if joined:
+            sizes, ids = self._gather(np.array([self.index[c] for _, cs in joined for c in cs]))
+            heads = np.cumsum([0, *(len(cs) for _, cs in joined)])[:-1]
+            self._store([w for w, _ in joined], np.add.reduceat(sizes, heads), ids)
+
+    def encode(self, run: Run) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the run's texts in a row, and where each text begins in it."""
         if len(self.index) > MOST_WORDS:
             self.forget()
-        known = self.index
-        new = list({w for ws in words for w in ws}.difference(known))
-        if new:
-            found = self._ids_of(new)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            sizes = np.cumsum([len(f) for f in found])
-            self.first = np.concatenate([self.first, self.first[-1] + sizes])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32, int(sizes[-1]))])
-        out = []
-        for ws in words:
-            at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            sizes = self.first[at + 1] - self.first[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.arange(total) + np.repeat(self.first[at] - ends + sizes, sizes)])
-        return out
+        units, odd, begin = self._units(run)
+        coded = units.dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        is_odd = np.zeros(len(distinct), bool)
+        is_odd[code] = odd
+        new = [(u, o) for u, o in zip(distinct, is_odd.tolist(), strict=True) if u not in self.index]
+        self._learn([u for u, o in new if not o], [u for u, o in new if o])
+        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        sizes, ids = self._gather(at[code])
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[begin]
 
 
 @lru_cache(maxsize=1)
@@ -133,10 +233,10 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
         known = encoder(path)
-        texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
         tokens, crcs, rests, rest_crcs, rest_ids = [], [], [], [], []
-        for first in range(0, len(texts), 100):
-            for ids in known.encode(texts[first : first + 100]):
+        for run in runs(batch.column("text"), RUN_BYTES):
+            found, begin = known.encode(run)
+            for ids in np.split(found, begin[1:-1]):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 raw, whole = ids.tobytes(), len(ids) // window
                 tokens.append(len(ids))

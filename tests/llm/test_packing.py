@@ -1,15 +1,18 @@
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 from itertools import combinations_with_replacement
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from newslake.llm import packing
+from newslake.llm.textbytes import runs
 from tests.llm import odd_texts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -88,3 +91,17 @@ def test_plan_stays_within_the_histogram():
         for length, after, upto, _, _ in packing.plan(histogram):
             places[length] += range(after, upto)
         assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_ids_are_the_librarys():
+    """Contractions, digits, signs, odd bytes, added tokens and long pieces, texts side by side without a space between them."""
+    r = random.Random(7)
+    parts = ["'", "s", "t", "re", "ve", "ll", "m", "d", "LL", "Re", "a", "the", "1", "42", "!", "--", " ", "\n", "é", "Ünï", "漢", "\x00", "<|endoftext|>", "<|", "x" * 40, " ", "İ", "́"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(4000)] + [t for t in odd_texts.texts() if t]
+    encoder, library, at = packing.WordEncoder(PATH), Tokenizer.from_file(PATH), 0
+    for run in runs(pa.array(texts), 1 << 14):
+        ids, begin = encoder.encode(run)
+        for k, text in enumerate(texts[run.first : run.last]):
+            assert ids[begin[k] : begin[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text[:200]
+            at += 1
+    assert at == len(texts)
