@@ -92,6 +92,20 @@ def separated_chunks(
     return split_batch(content)
 
 
+def separated_spans(
+    content: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+) -> Column:
+    """Where the chunks lie before they are stripped: characters ``begin`` to ``upto``, counted from 0."""
+
+    @F.arrow_udf("array<struct<begin: int, upto: int>>")
+    def spans_of_batch(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("begin", pa.int32()), ("upto", pa.int32())]))
+        found = [list(_spans(t, (0, len(t)), SEPARATORS, size, overlap)) if t else [] for t in texts.to_pylist()]
+        return pa.array([[{"begin": a, "upto": b} for a, b in f] for f in found], kind)
+
+    return spans_of_batch(content)
+
+
 def fixed_chunks(content: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Windows of ``size`` characters every ``size - overlap``; built-ins only.
 

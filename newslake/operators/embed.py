@@ -63,10 +63,11 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, size, out=np.zeros_like(matrix, dtype=float), where=size > 0)
 
 
-def _one_with_retries(embedder: Embedder, text: pa.Array, waits: Sequence[float]):
+def _tried(embedder: Embedder, texts: pa.Array, waits: Sequence[float]) -> list | None:
+    """Vectors of the texts in one call, after as many attempts as there are waits."""
     for wait in waits:
         try:
-            return np.asarray(embedder(text), dtype=np.float32)[0]
+            return list(np.asarray(embedder(texts), dtype=np.float32))
         except Exception:
             time.sleep(wait)
     return None
@@ -77,21 +78,31 @@ def embed_batch(
 ) -> tuple[list, list]:
     """Vectors and errors of a batch.
 
-    A batch that fails is halved until the failing texts stand alone. Only these
-    are retried, one wait after each attempt, and only these end with an error.
+    A batch that fails is retried whole, one wait after each attempt. Only then is it
+    halved, each half tried once and halved in turn, until failing texts stand alone.
+    Such a text is retried with the waits if any text has succeeded, so that the
+    service answers; else its attempts in the batch count, and an outage costs each
+    batch the waits once and two calls a text.
     """
     if len(texts) == 0:
         return [], []
-    if len(texts) == 1:
-        vector = _one_with_retries(embedder, texts, waits)
-        return [vector], [GAVE_UP if vector is None else None]
-    try:
-        return list(np.asarray(embedder(texts), dtype=np.float32)), [None] * len(texts)
-    except Exception:
-        half = len(texts) // 2
-        left = embed_batch(embedder, texts.slice(0, half), waits)
-        right = embed_batch(embedder, texts.slice(half), waits)
-        return left[0] + right[0], left[1] + right[1]
+    vectors = _tried(embedder, texts, waits)
+    if vectors is None and len(texts) > 1:
+        vectors = []
+        answers = False
+        open_parts = [texts.slice(len(texts) // 2), texts.slice(0, len(texts) // 2)]
+        while open_parts:
+            part = open_parts.pop()
+            alone = len(part) == 1
+            found = _tried(embedder, part, waits if alone and answers else [0])
+            if found is None and not alone:
+                half = len(part) // 2
+                open_parts += [part.slice(half), part.slice(0, half)]
+                continue
+            answers = answers or found is not None
+            vectors += found or [None]
+    vectors = vectors or [None]
+    return vectors, [GAVE_UP if v is None else None for v in vectors]
 
 
 def embedded(

@@ -498,6 +498,25 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "chunk_index", "content")
 
 
+def chunk_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text put together from its chunks, less what neighbours share; whether all chunks and shared parts keep their limits."""
+    d = si.spread_documents(spark, sf_dir).select("doc_id", F.col("text").alias("content"))
+    spans = d.withColumn("spans", chunk.separated_spans(F.col("content")))
+    piece = F.expr("transform(spans, s -> struct(s.begin, s.upto, substring(content, s.begin + 1, s.upto - s.begin) AS chunk))")
+    pieces = spans.select("doc_id", piece.alias("pieces"))
+    # The chunk that follows adds what lies beyond the end of the one before.
+    own = F.expr("transform(pieces, (p, i) -> substring(p.chunk, CASE WHEN i = 0 THEN 1 ELSE pieces[i - 1].upto - p.begin + 1 END, length(p.chunk)))")
+    fits = F.expr(f"forall(pieces, p -> length(p.chunk) BETWEEN 1 AND {chunk.CHUNK_SIZE})")
+    shared = F.expr(
+        "forall(transform(pieces, (p, i) -> CASE WHEN i = 0 THEN 0 ELSE pieces[i - 1].upto - p.begin END), "
+        f"n -> n BETWEEN 0 AND {chunk.CHUNK_OVERLAP})"
+    )
+    return pieces.select("doc_id", F.array_join(own, "").alias("content"), fits.alias("chunks_fit"), shared.alias("overlaps_fit"))
+
+
+CHUNK_REBUILD_SQL = "SELECT doc_id, coalesce(text, '') AS content, true AS chunks_fit, true AS overlaps_fit FROM documents"
+
+
 def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed chunks of the refined articles with the fields they carry along."""
     articles = news.with_content(_refined(spark, sf_dir)).select(
@@ -731,6 +750,7 @@ QUERIES = {
     "chunk_fixed": (chunk_fixed, FIXED_SQL),
     "chunk_id": (chunk_id, CHUNK_ID_SQL),
     "chunk_recursive": (chunk_recursive, None),
+    "chunk_rebuild": (chunk_rebuild, CHUNK_REBUILD_SQL),
     "chunk_rows": (chunk_rows, CHUNK_ROWS_SQL),
     "html_paragraph_text": (html_paragraph_text, PARAGRAPH_SQL),
     "html_fields": (html_fields, FIELDS_SQL),

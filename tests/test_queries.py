@@ -23,7 +23,7 @@ def con():
 
 
 # Only these may run Python in the plan they return.
-PYTHON = {"chunk_recursive", "embed_hashed", "embed_retry_dlq", "vector_topk", "batch_retrieval",
+PYTHON = {"chunk_recursive", "chunk_rebuild", "embed_hashed", "embed_retry_dlq", "vector_topk", "batch_retrieval",
           "context_or_default", "html_paragraph_text", "html_fields", "page_metadata", "page_main_text",
           "search_news"}
 

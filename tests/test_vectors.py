@@ -135,6 +135,33 @@ def test_batches_succeed_in_one_call():
     assert model.calls == [["a", "b"]]
 
 
+def test_an_outage_costs_the_waits_once(monkeypatch):
+    slept, calls = [], []
+    monkeypatch.setattr(embed.time, "sleep", slept.append)
+
+    def down(texts):
+        calls.append(len(texts))
+        raise OSError
+
+    got, errors = embed.embed_batch(down, pa.array([str(i) for i in range(1000)]), (1, 2, 4))
+    assert got == [None] * 1000 and errors == [embed.GAVE_UP] * 1000
+    assert sum(slept) == 7 and calls[:3] == [1000] * 3 and len(calls) == 3 + 2 * 1000 - 2
+
+
+def test_a_short_failure_is_over_after_a_wait(monkeypatch):
+    monkeypatch.setattr(embed.time, "sleep", lambda wait: None)
+    calls = []
+
+    def recovers(texts):
+        calls.append(len(texts))
+        if len(calls) < 3:
+            raise OSError
+        return [[1.0]] * len(texts)
+
+    assert embed.embed_batch(recovers, pa.array(["a", "b", "c"]), (1, 2, 4))[1] == [None] * 3
+    assert calls == [3, 3, 3]
+
+
 def articles(spark, *rows):
     return spark.createDataFrame(list(rows), "n int, url string, content string")
 
