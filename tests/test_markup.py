@@ -108,3 +108,10 @@ def test_main_text_without_marks(spark):
     row = main_text.with_main_text(spark.createDataFrame([(1, page)], "id int, html string"), "id").first()
     assert row.content.split("\n") == ["Short head", long[0], long[1], "Two words.", long[2], long[3]]
     assert "footer" in BESIDE
+
+
+def test_main_text_of_a_long_block(spark):
+    """The square of its words is beyond an int."""
+    body = " ".join(f"w{i}" for i in range(6000))
+    row = main_text.with_main_text(spark.createDataFrame([(1, f"<p>{body}</p>")], "id int, html string"), "id").first()
+    assert (row.content, row.n_blocks) == (body, 1)
