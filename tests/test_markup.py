@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from newslake.functions import html
+from newslake.functions import html, markup
 from newslake.functions.markup import BESIDE, read_page
 from newslake.operators import main_text
 from tests.test_expressions import value
@@ -115,3 +116,16 @@ def test_main_text_of_a_long_block(spark):
     body = " ".join(f"w{i}" for i in range(6000))
     row = main_text.with_main_text(spark.createDataFrame([(1, f"<p>{body}</p>")], "id int, html string"), "id").first()
     assert (row.content, row.n_blocks) == (body, 1)
+
+
+def test_pages_of_a_batch_are_held_in_slices(monkeypatch):
+    """Whatever a batch holds, the arrays of at most one slice are made at a time, in order."""
+    monkeypatch.setattr(markup, "SLICE_BYTES", 100)
+    pages = ["<p>" + "x" * n + "</p>" for n in (10, 300, 20, 20, 20, 60)]
+    pages = [None, *pages[:3], "", *pages[3:], None]
+    given = markup.read_batches(iter([pa.array(pages, pa.string()), pa.array([], pa.string()), pa.array([None, "a"], pa.string())]))
+    parts = list(given)
+    assert [len(p) for p in parts] == [2, 1, 4, 2, 2]
+    found = [r for p in parts for r in p.to_pylist()]
+    texts = [None if r is None else [p["text"] for p in r["paragraphs"]] for r in found]
+    assert texts == [None if p is None else ["x" * p.count("x")] if p else [] for p in pages] + [None, []]
