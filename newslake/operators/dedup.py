@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslake.functions.text import article_id, or_none
-from newslake.session import settle
+from newslake.session import DENSE, settle, without
 
 SALTS = 1024
 
@@ -17,11 +20,22 @@ def stored_urls(stored: DataFrame) -> DataFrame:
 
 
 def _first_of_each(articles: DataFrame, keys: list[Column], order: tuple[str, ...]) -> DataFrame:
-    """First row of each group. The minimum is taken before the shuffle, so the
-    copies in a group travel as one row per task however many there are."""
-    named = [k.alias(f"_key{i}") for i, k in enumerate(keys)]
-    first = F.min_by(F.struct(*articles.columns), F.struct(*order)).alias("_row")
-    return articles.groupBy(*named).agg(first).select("_row.*")
+    """First row of each group.
+
+    Whole articles are written once, with a number each, and never sorted: only keys are counted, and only rows that
+    share their key with others are compared, by key, order and number. The minimum is taken before the shuffle, so the copies in a group
+    travel as one row per task however many there are. What is given out are the rows less the numbers of all others of their group.
+    """
+    named = {f"_key{i}": k for i, k in enumerate(keys)}
+    rows = settle(articles.withColumns({**named, "_row": F.monotonically_increasing_id()}), "articles", DENSE)
+    shared = rows.groupBy(*named).count().where("count > 1").drop("count")
+    same = reduce(and_, (F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in named))
+    shared = settle(shared, "shared-keys")
+    compared = rows.select(*named, *order, "_row").alias("r").join(shared.alias("s"), same, "left_semi")
+    first = compared.groupBy(*named).agg(F.min_by("_row", F.struct(*order, "_row")).alias("_row"))
+    others = rows.select(*named, "_row").alias("r").join(shared.alias("s"), same, "left_semi").select("_row")
+    gone = settle(others.join(first.select("_row"), "_row", "left_anti"), "copies")
+    return without(rows, gone, "_row").select(*articles.columns)
 
 
 def one_per_url(articles: DataFrame, *order: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newslake.functions import text, times
 from newslake.operators import chunk, decode, dedup, embed, metrics, news, publish, vectors
 from newslake.schemas import REFINED_MESSAGE
-from newslake.session import settle
+from newslake.session import DENSE, settle
 from newslake.sources import commits, lake
 from newslake.sources.messages import DEAD_LETTER_TOPIC
 from newslake.streaming.runs import each_batch, kept, send
@@ -21,7 +21,7 @@ BATCH_WRITER, STREAM_WRITER = "batch", "stream"
 
 def new_articles(loaded: DataFrame, stored: DataFrame, *order: str) -> DataFrame:
     """Articles to embed: with text, first of their id, URL not stored yet."""
-    unique = settle(dedup.one_per_id(news.with_content(loaded), *order), "unique")
+    unique = settle(dedup.one_per_id(news.with_content(loaded), *order), "unique", DENSE)
     return dedup.not_stored_batch(unique, stored)
 
 
@@ -51,9 +51,9 @@ def ingest(
     repeated as a whole; what it stored before is replaced, not doubled.
     """
     articles = loaded.withColumn("url", F.coalesce("link", F.lit("")))
-    unique = settle(dedup.one_per_id(news.with_content(articles), *order), "unique")
+    unique = settle(dedup.one_per_id(news.with_content(articles), *order), "unique", DENSE)
     fresh = dedup.not_stored(unique, settle(vectors.stored_among(spark, root, unique, (BATCH_WRITER, version)), "seen-urls"))
-    pieces = settle(fresh.withColumn("_chunks", chunker(F.col("content"))), "pieces")
+    pieces = settle(fresh.withColumn("_chunks", chunker(F.col("content"))), "pieces", DENSE)
     rows = chunk.chunk_rows(pieces, F.col("_chunks")).drop("_chunks")
     done = embed.with_vectors(rows, embedder).withColumn("vector", _vector_or_fail())
     vectors.upsert(vectors.chunk_points(done, ingested_at), root, version, BATCH_WRITER)
@@ -106,9 +106,9 @@ def _embed_parsed(parsed: DataFrame, batch_id: int, root: str, embedder: embed.E
     decoded = decode.good(parsed, REFINED_MESSAGE, "arrived_at", "value")
     url = text.article_url(F.col("link"), F.col("url"))
     articles = decoded.withColumn("url", url)
-    unique = settle(dedup.one_per_id(news.with_content(articles), "arrived_at", "value"), "unique")
+    unique = settle(dedup.one_per_id(news.with_content(articles), "arrived_at", "value"), "unique", DENSE)
     fresh = dedup.not_stored(unique, settle(vectors.stored_among(spark, root, unique), "seen-urls"))
-    done = settle(embed.with_vectors(fresh, embedder, waits=waits), "embedded")
+    done = settle(embed.with_vectors(fresh, embedder, waits=waits), "embedded", DENSE)
     stored_at = times.iso(F.current_timestamp())
     points = vectors.article_points(done.where("error IS NULL"), stored_at)
     fitting, misfits = vectors.split_by_dimension(points, dimension)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -306,3 +309,25 @@ def test_transcript_pages(spark):
     pages = sorted(retrieval.transcript(turns, 64).collect(), key=lambda r: r.page)
     assert [len(p.turns) for p in pages] == [64, 64, 64, 64, 44]
     assert [t.turn for p in pages for t in p.turns] == list(range(300))
+
+
+def test_copies_of_a_text_are_stored_once(spark, folder):
+    """Chunks carry the whole text; what is stored grows with the texts, not with the texts times their chunks."""
+    rng = random.Random(5)
+    texts = [f"{rng.getrandbits(400_000):x}" for _ in range(24)]
+    rows = [(f"u{i}", t, t[:700], k) for i, t in enumerate(texts) for k in range(20)]
+    made = spark.createDataFrame(rows, "url string, full_content string, content string, chunk_index int").coalesce(1)
+    made = made.selectExpr("*", "array(1f) AS vector", "'s' AS source", "'t' AS title", "'2024-01-01' AS published_at")
+    root = folder("copies")
+    vectors.upsert(vectors.chunk_points(made, F.lit("now")), root, 0)
+    size = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(f"{root}/{vectors.DATA}") for f in names)
+    assert size < 3 * sum(map(len, texts))
+    assert vectors.current(spark, root).count() == len(rows)
+
+
+def test_first_of_an_id_without_sorting_articles(spark):
+    """Rows with one key, equal rows too, leave one row; null order comes first; no whole row is aggregated."""
+    rows = [("u", 3, "c"), ("u", 2, "b"), ("u", 2, "b"), ("v", 1, "a"), ("w", None, "n"), ("w", 0, "z"), (None, 5, "x"), (None, 6, "x"), (None, 7, "y")]
+    kept = dedup.one_per_id(spark.createDataFrame(rows, "url string, n int, content string"), "n")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([("u", 2, "b"), ("v", 1, "a"), ("w", None, "n"), (None, 5, "x"), (None, 7, "y")], key=str)
+    assert "min_by" not in kept._jdf.queryExecution().toString()
