@@ -28,7 +28,6 @@ from newslake.session import settle
 WINDOW, GRAM = 10, 5
 SPAN = WINDOW - GRAM + 1  # grams in a window
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -90,7 +89,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(text_or_empty()).alias("version"))
     worded = computed_once(rows, "w", _words())
     prints = computed_once(worded.select("doc_id", "version", "w"), "g", _gram_hashes(GRAM))
-    prints = prints.select("doc_id", "version", F.concat(_fingerprints(), _short(lengths)).alias("marks"))
+    # Words and hashes are made once a row; what is left of a row is written, for the join and for the result.
+    prints = settle(prints.select("doc_id", "version", F.size("w").cast("long").alias("n_words"), F.concat(_fingerprints(), _short(lengths)).alias("marks")), "document-marks")
     found = prints.select("doc_id", "version", F.explode("marks").alias("mark")).join(marks, "mark")
     found = found.groupBy("doc_id", "version").agg(F.collect_set("mark").alias("found"))
     found = settle(found, "document-fingerprints")
@@ -114,8 +114,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1)))))
     met = met.select("doc_id", "version", covered.cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
 
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("version"),
-                          F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("n_words"))
+    counted = prints.select("doc_id", "version", "n_words")
     same = F.col("d.version").eqNullSafe(F.col("m.version")) & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
     items_of = F.coalesce("m.items", F.array().cast("array<string>"))
     return counted.alias("d").join(met.alias("m"), same, "left").select(
