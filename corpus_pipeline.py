@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslake.llm import decontaminate, language, mixing, near_dedup, suffix_dedup
-from newslake.llm.common import map_batches, table, text_or_empty
-from newslake.session import settle
+from newslake.llm.common import has_bit, id_bits, id_place, map_batches, table, text_or_empty
+from newslake.session import released, settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A text that wins each of its duels scores at least 0.5 in both steps, so at least 0.25 in all: only one that loses a duel can score less.
@@ -30,10 +30,16 @@ LEAST_SCORE = 0.25
 ORACLE_SQL = None  # the language models and the suffix sort are not expressible; tests/llm/test_pipeline.py compares every stage with a plain version
 
 
-def _matching(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of documents whose id is among ``ids``; a null id matches a null one."""
-    d, i = docs.alias("d"), ids.distinct().alias("i")
-    return d.join(i, F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of documents whose id is not in a settled narrow table. Only rows that share a bit with one of its ids meet it."""
+    bits = id_bits(gone)
+
+    @F.arrow_udf("boolean")
+    def suspect(place: pa.Array) -> pa.Array:
+        return has_bit(bits.value, place)
+
+    left = docs.where(~suspect(id_place()))
+    return left.unionByName(docs.where(suspect(id_place())).join(gone, "doc_id", "left_anti"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,11 +53,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat an id or have none are kept once per id and text."""
-    kept = settle(near_dedup.near_duplicates(docs).where("kept").select("doc_id"), "kept-ids")
-    once = kept.groupBy("doc_id").count()
-    left = _matching(docs.select(COLUMNS), once.select("doc_id"))
-    repeated = settle(once.where("count > 1").select("doc_id"), "repeated-ids")
+    """Rows that repeat an id or have none are kept once per id and text. What near_dedup wrote in between is gone before the next stage."""
+    with released(spark) as tables:
+        found = settle(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "near-found")
+        tables.pop()
+    # All rows of an id are kept or none, and those without an id always are.
+    left = _without(docs.select(COLUMNS), settle(found.where(~F.col("kept")).select("doc_id").distinct(), "gone-ids"))
+    repeated = settle(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if not repeated.take(1):
         return left
     same = F.col("d.doc_id").eqNullSafe(F.col("i.doc_id"))
@@ -93,5 +101,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        with released(spark) as tables:
+            docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+            tables.pop()
     return docs

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslake.llm.common import map_batches, pack_texts, text_or_empty, unpack_texts
+from newslake.llm.common import has_bit, id_bits, id_place, map_batches, pack_texts, text_or_empty, unpack_texts
 from newslake.llm.textbytes import M1, mix, runs, words
 from newslake.session import settle
 
@@ -159,9 +159,15 @@ PACKED = "doc_id long, size long, packed binary"
 SETS = "doc_id long, members array<long>"
 
 
-def _pack(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
-    sizes, packed = pack_texts(batch.column("text"))
-    return [pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, packed], ["doc_id", "size", "packed"])]
+def _pack(bits):
+    """Texts compressed, of documents whose bit is set."""
+
+    def f(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        batch = batch.filter(has_bit(bits.value, batch.column("place")))
+        sizes, packed = pack_texts(batch.column("text"))
+        return [pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, packed], ["doc_id", "size", "packed"])]
+
+    return f
 
 
 def _sets(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
@@ -208,9 +214,9 @@ def _likely(pairs: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def _member_sets(ids: DataFrame, docs: DataFrame, hint: str | None = None) -> DataFrame:
-    """(doc_id, members) of the given ids. Texts travel compressed."""
+    """(doc_id, members) of the given ids. Texts travel compressed, and of other documents only those that share a bit with a given id."""
     ids = settle(ids, "near-wanted")
-    texts = map_batches(docs.select("doc_id", text_or_empty().alias("text")), _pack, PACKED)
+    texts = map_batches(docs.select("doc_id", id_place().alias("place"), text_or_empty().alias("text")), _pack(id_bits(ids)), PACKED)
     return settle(map_batches(texts.join(ids.hint(hint) if hint else ids, "doc_id", "left_semi"), _sets, SETS), "near-sets")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,17 @@ def test_large_frames_get_more_ranges(spark, folder, monkeypatch):
     monkeypatch.setattr(session, "RANGE_BYTES", 1000)
     ranged = session.in_ranges(spark.read.parquet(path), "id")
     assert ranged.rdd.getNumPartitions() > 8
+
+
+def test_released_tables_go_at_the_end(spark):
+    with session.released(spark) as outer:
+        with session.released(spark) as tables:
+            session.settle(spark.range(3), "gone")
+            kept = session.settle(spark.range(5), "kept")
+            path = tables.pop()
+            gone = tables[0]
+        assert kept.count() == 5 and not Path(gone).exists()
+        assert outer == [gone, path]
+    assert not Path(path).exists()
+    settled = session.settle(spark.range(2), "after")
+    assert settled.count() == 2
