@@ -62,7 +62,7 @@ def test_languages_are_learned_from_every_row(spark, monkeypatch, shard_rows, le
     rows = [(i, prose("theandrsio", r, 30), "en") for i in range(1500)]
     rows += [(i, prose("schungeitz", r, 30), "de") for i in range(1500, 1540)]
     rows += [(i, prose("кошвдьа", r, 30), "uk") for i in range(1540, 1900)]
-    rows += [(5, prose("theandrsio", r, 30), "en"), (None, "a", "en"), (6, "a", None), (7, None, "en"), (1900, "", "en"), (1901, "de " * 60_000, "de")]
+    rows += [(5, prose("theandrsio", r, 30), "en"), (None, "a", "en"), (6, "a", None), (7, None, "en"), (1900, "", "en"), (1901, prose("schungeitz", r, 200) * 300, "de")]
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     known = docs.where(f"doc_id is not null and text is not null and lang is not null and not {HELD_OUT}")
     counts = dict(known.groupBy("lang").count().collect())
